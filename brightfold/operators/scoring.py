@@ -11,6 +11,17 @@ from pyspark.sql import DataFrame, functions as F
 from brightfold import config
 
 
+def _made_columns(model: PipelineModel) -> list[str]:
+    """Columns the stages before the classifier add."""
+    made = []
+    for stage in model.stages:
+        if isinstance(stage, PipelineModel):
+            made += _made_columns(stage)
+        elif stage.hasParam("outputCol"):
+            made.append(stage.getOrDefault("outputCol"))
+    return made
+
+
 def predict(df: DataFrame, model) -> DataFrame:
     """The model's prediction, raw score and probability columns, appended."""
     return model.transform(df)
@@ -41,8 +52,7 @@ def score_models(
             last.rawPredictionCol: f"_raw_{i}",
         })
         if isinstance(model, PipelineModel):
-            made = [s.getOrDefault("outputCol") for s in model.stages[:-1] if s.hasParam("outputCol")]
-            scored = scored.drop(*made)
+            scored = scored.drop(*_made_columns(model))
         entries.append(F.struct(
             *[F.lit(part).alias(name) for part, name in zip(key, names)],
             F.col(f"_prediction_{i}").alias("prediction"),

@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightfold import config
 from brightfold.operators.estimators import param_map, spark_params
@@ -105,8 +106,9 @@ def cross_validate(
         train = df.where((F.col(fold) != held_out) & F.col(fold).between(0, folds - 1))
         validation = df.where(F.col(fold) == held_out)
         fits = estimator.fitMultiple(train, maps_for(n_train))
+        fit_next = inheritable_thread_target(df.sparkSession)(lambda: next(fits))
         with ThreadPool(max(1, min(parallelism, len(candidates)))) as pool:
-            fitted = dict(pool.imap_unordered(lambda _: next(fits), candidates))
+            fitted = dict(pool.imap_unordered(lambda _: fit_next(), candidates))
         models = {(candidate,): fitted[i] for i, candidate in enumerate(candidates)}
         scores = score_models(validation, models, ["candidate"], [label])
         for row in roc_auc(scores, ["candidate"], label).collect():
