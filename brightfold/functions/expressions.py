@@ -45,8 +45,8 @@ def key_hash(columns: Sequence[str], seed: int = 0) -> Column:
 
 
 def row_hash(columns: Sequence[str], seed: int = 0) -> Column:
-    """64-bit row hash folded to 52 bits, for rows without integer keys."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(1 << 52))
+    """Hash of whole rows in [0, HASH_MODULUS), for tables without integer keys."""
+    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(HASH_MODULUS))
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:

@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brightfold import config
 from brightfold.functions.expressions import HASH_MODULUS
@@ -81,6 +81,6 @@ def param_map(estimator, mapped: Mapping[str, float]) -> dict:
     return {estimator.getParam(name): value for name, value in mapped.items()}
 
 
-def with_validation_flag(df: DataFrame, key, share: float = VALIDATION_SHARE) -> DataFrame:
+def with_validation_flag(df: DataFrame, key: Column, share: float = VALIDATION_SHARE) -> DataFrame:
     """Mark a share of the rows by hash key as the early-stopping set."""
     return df.withColumn("is_val", key < F.lit(int(share * HASH_MODULUS)))
