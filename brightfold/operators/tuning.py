@@ -140,12 +140,14 @@ def search(
     parallelism: int = 2,
     time_budget_s: float | None = None,
     refit_df: DataFrame | None = None,
+    refit_estimator=None,
 ) -> SearchResult:
     """Score every candidate by cross-validated ROC-AUC and refit the best on all rows.
 
     With a time budget, candidates are scored one after the other and no new
     one starts once it is spent; the first always runs. `refit_df` refits on
-    other rows than the search used.
+    other rows than the search used, `refit_estimator` without the stages that
+    only belong inside the folds.
     """
     spark = df.sparkSession
     params = candidate_dicts(candidates)
@@ -172,7 +174,8 @@ def search(
     rows = refit_df if refit_df is not None else df
     n_rows = rows.count() if family == "lr" and profile == "exact" else None
     chosen = params[best["candidate"]]
-    model = estimator.fit(rows, param_map(stage, spark_params(family, chosen, profile, n_rows)))
+    final = refit_estimator or estimator
+    model = final.fit(rows, param_map(stage, spark_params(family, chosen, profile, n_rows)))
     refit_s = time.perf_counter() - started
     return SearchResult(
         family, profile, chosen, best["mean_auc"], search_s, refit_s, model,

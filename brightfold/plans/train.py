@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame
 
 from brightfold import config
@@ -70,34 +71,34 @@ def train_all(
         rows = stratified_kfold(rows, key(seed + 1), ties, folds)
     else:
         rows = kfold(rows, key(seed), folds)
-    refit = None
+    refit = train if leak_free else None
     if sampled:
         refit = train if refit_rows is None else stratified_sample(train, refit_rows, key(seed), ties)
 
-    def prepared(df, kept=()):
-        scaled = df if leak_free else transform.transform(df)
-        flagged = with_validation_flag(scaled, key(seed + 2))
-        wanted = list(features) if leak_free else ["features"]
-        return flagged.select("label", "is_val", *kept, *wanted)
+    def prepared(df, kept=(), scale=True):
+        vectors = transform.transform(df) if scale else df
+        flagged = with_validation_flag(vectors, key(seed + 2))
+        return flagged.select("label", "is_val", *kept, *(["features"] if scale else features))
 
-    data = prepared(spread(rows), ["fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+    data = prepared(spread(rows), ["fold"], not leak_free).persist(StorageLevel.MEMORY_AND_DISK)
     refit_data = None
     if refit is not None:
         refit_data = prepared(spread(refit)).persist(StorageLevel.MEMORY_AND_DISK)
     results = {}
     try:
         for family in families:
-            estimator = make_estimator(family, profile, **(settings or {}).get(family, {}))
+            plain = make_estimator(family, profile, **(settings or {}).get(family, {}))
+            estimator = plain
             if leak_free:
-                stages = feature_stages(features, profile)
-                estimator = stages.copy().setStages([*stages.getStages(), estimator])
+                estimator = Pipeline(stages=[*feature_stages(features, profile).getStages(), plain])
             if method == "grid":
                 candidates = tuning.param_grid(spark, grids[family])
             else:
                 candidates = tuning.search_candidates(spark, spaces[family], trials)
             results[family] = tuning.search(
                 data, family, estimator, candidates, profile, folds,
-                parallelism=parallelism, time_budget_s=time_budget_s, refit_df=refit_data,
+                parallelism=parallelism, time_budget_s=time_budget_s,
+                refit_df=refit_data, refit_estimator=plain,
             )
             if out is not None:
                 path = model_files.model_path(out, profile, family)
