@@ -13,16 +13,20 @@ from brightfold import config
 MAX_BUCKETS = 10_000
 
 
-def score_bounds(scores: DataFrame, score: str, buckets: int) -> list[float]:
-    """At most `buckets` - 1 scores that cut all rows into about equal ranges."""
-    shares = [i / buckets for i in range(1, buckets)]
-    if not shares:
+def score_bounds(scores: DataFrame, score: str = "score", buckets: int | None = None) -> list[float]:
+    """Scores that cut all rows into `buckets` about equal ranges, at most 10,000.
+
+    By default four ranges per shuffle partition.
+    """
+    if buckets is None:
+        buckets = 4 * int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, buckets)
+    if buckets < 2:
         return []
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     accuracy = max(10_000, 10 * buckets)
-    row = scores.agg(
-        F.percentile_approx(score, F.array(*map(F.lit, shares)), accuracy).alias("bounds")
-    ).head()
-    return sorted(set(row["bounds"] or []))
+    row = scores.agg(F.percentile_approx(score, shares, accuracy).alias("bounds")).head()
+    return sorted({b for b in row["bounds"] or [] if abs(b) != float("inf")})
 
 
 def classification_metrics(
@@ -32,6 +36,7 @@ def classification_metrics(
     score: str = "score",
     prediction: str | None = "prediction",
     buckets: int | None = None,
+    bounds: Sequence[float] | None = None,
 ) -> DataFrame:
     """Rows, accuracy and ROC-AUC (ties count half) per group.
 
@@ -40,11 +45,10 @@ def classification_metrics(
     cut at literal bounds, and the ranges are joined up by their totals: no task
     sees more than one range of one group. AUC is NULL where a class is absent.
     Rows without a label or score are left out.
+
+    The bounds only balance the work. Those of similar scores (`score_bounds`)
+    can be passed in, which saves the pass that finds them.
     """
-    session = scores.sparkSession
-    if buckets is None:
-        buckets = 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(MAX_BUCKETS, buckets))
     correct = F.lit(None).cast("long")
     if prediction is not None:
         correct = F.when(F.col(prediction) == F.col(label), 1).otherwise(0).cast("long")
@@ -56,7 +60,8 @@ def classification_metrics(
         F.when(F.col(label) == 1, 1).otherwise(0).cast("long").alias("_pos"),
         correct.alias("_correct"),
     )
-    bounds = [b for b in score_bounds(rows, "_score", buckets) if abs(b) != float("inf")]
+    if bounds is None:
+        bounds = score_bounds(rows, "_score", buckets)
     ranged = Bucketizer(
         splits=[-float("inf"), *bounds, float("inf")], inputCol="_score", outputCol="_range"
     ).transform(rows) if bounds else rows.withColumn("_range", F.lit(0.0))
@@ -102,8 +107,10 @@ def roc_auc(
     label: str = config.LABEL,
     score: str = "score",
     buckets: int | None = None,
+    bounds: Sequence[float] | None = None,
 ) -> DataFrame:
-    return classification_metrics(scores, by, label, score, None, buckets).drop("n_rows", "accuracy")
+    found = classification_metrics(scores, by, label, score, None, buckets, bounds)
+    return found.drop("n_rows", "accuracy")
 
 
 def accuracy(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightfold import config
 from brightfold.operators.estimators import param_map, spark_params
-from brightfold.operators.metrics import roc_auc
+from brightfold.operators.metrics import roc_auc, score_bounds
 from brightfold.operators.scoring import score_models
 
 # Irrational steps of the candidate sequence, one per parameter.
@@ -93,26 +93,34 @@ def cross_validate(
     """(candidate, fold, auc) for each candidate on each held-out fold.
 
     Folds are predicates on a column of the (persisted) input, so no fold is
-    copied. The candidates of a fold fit concurrently, and one scan of the
-    held-out rows scores them all. `maps_for` gets the training rows of the
+    copied. Fits run `parallelism` at a time across candidates and folds; once
+    the candidates of a fold are fitted, one scan of its held-out rows scores
+    them all while the next fits run. `maps_for` gets the training rows of the
     fold and gives the parameter maps of the candidates.
     """
-    sizes = dict(df.where(F.col(fold).between(0, folds - 1)).groupBy(fold).count().collect())
-    results = []
+    inside = df.where(F.col(fold).between(0, folds - 1))
+    sizes = dict(inside.groupBy(fold).count().collect())
+    fits = []
     for held_out in range(folds):
         n_train = sum(n for f, n in sizes.items() if f != held_out)
         if not n_train or not sizes.get(held_out):
             raise ValueError(f"fold {held_out} leaves no training or no validation rows")
-        train = df.where((F.col(fold) != held_out) & F.col(fold).between(0, folds - 1))
-        validation = df.where(F.col(fold) == held_out)
-        fits = estimator.fitMultiple(train, maps_for(n_train))
-        fit_next = inheritable_thread_target(df.sparkSession)(lambda: next(fits))
-        with ThreadPool(max(1, min(parallelism, len(candidates)))) as pool:
-            fitted = dict(pool.imap_unordered(lambda _: fit_next(), candidates))
-        models = {(candidate,): fitted[i] for i, candidate in enumerate(candidates)}
-        scores = score_models(validation, models, ["candidate"], [label])
-        for row in roc_auc(scores, ["candidate"], label).collect():
-            results.append((row["candidate"], held_out, row["roc_auc"]))
+        train = inside.where(F.col(fold) != held_out)
+        fits.append(estimator.fitMultiple(train, maps_for(n_train)))
+    fit_next = inheritable_thread_target(df.sparkSession)(lambda held_out: next(fits[held_out]))
+    turns = [held_out for held_out in range(folds) for _ in candidates]
+    results, bounds = [], None
+    with ThreadPool(max(1, min(parallelism, len(turns)))) as pool:
+        fitted = pool.imap(fit_next, turns)
+        for held_out in range(folds):
+            models = dict(next(fitted) for _ in candidates)
+            models = {(candidate,): models[i] for i, candidate in enumerate(candidates)}
+            validation = df.where(F.col(fold) == held_out)
+            scores = score_models(validation, models, ["candidate"], [label])
+            if bounds is None:
+                bounds = score_bounds(scores)
+            for row in roc_auc(scores, ["candidate"], label, bounds=bounds).collect():
+                results.append((row["candidate"], held_out, row["roc_auc"]))
     return results
 
 

@@ -169,7 +169,7 @@ def _grid_search_lr(spark, sf_dir, profile):
     data = transform.transform(spread(folded)).select("label", "fold", "features")
     with persisted(data) as data:
         candidates = tuning.param_grid(spark, config.PARAM_GRIDS["lr"])
-        return tuning.search(data, "lr", estimator, candidates, profile, parallelism=4)
+        return tuning.search(data, "lr", estimator, candidates, profile, parallelism=8)
 
 
 def cv_results(spark, sf_dir):
@@ -208,7 +208,7 @@ def _tree_search(spark, sf_dir, family, **options):
     """What a tree search must meet: all candidates scored on all folds, the best one chosen."""
     train = choose_split(base(spark, sf_dir), "train").select(*KEYS, *FEATURES, "label")
     result = train_all(
-        train, FEATURES, families=[family], key=line_hash, ties=KEYS, folds=3, parallelism=4, **options
+        train, FEATURES, families=[family], key=line_hash, ties=KEYS, folds=3, parallelism=8, **options
     )[family]
     table = result.cv_results
     best = F.max("mean_auc")
@@ -217,7 +217,7 @@ def _tree_search(spark, sf_dir, family, **options):
         F.sum("n_folds").alias("n_scores"),
         F.bool_and((F.col("mean_auc") > 0.6) & (F.col("mean_auc") < 1.0)).alias("scores_plausible"),
         (best == F.lit(result.cv_score)).alias("best_is_highest"),
-    ).select(F.lit(family).alias("family"), F.lit(train.count()).alias("n_train"), "*")
+    ).select(F.lit(family).alias("family"), F.lit(train.count()).cast("bigint").alias("n_train"), "*")
 
 
 def grid_search_rf(spark, sf_dir):
@@ -240,7 +240,7 @@ def _search_lr(spark, sf_dir, profile, **options):
     train = choose_split(base(spark, sf_dir), "train").select(*KEYS, *FEATURES, "label")
     result = train_all(
         train, FEATURES, profile, method="search", families=["lr"], key=line_hash, ties=KEYS,
-        settings={"lr": {"tol": TOLERANCE}}, trials=4, parallelism=4, **options
+        settings={"lr": {"tol": TOLERANCE}}, trials=4, parallelism=8, **options
     )["lr"]
     return _cv_rows(result).withColumn("C", F.round("C", 8))
 
@@ -266,14 +266,14 @@ TINY = {
 def training_summary_table(spark, sf_dir):
     """All three families trained; parameters, scores and times of the summary checked."""
     train = choose_split(base(spark, sf_dir), "train").select(*KEYS, *FEATURES, "label")
-    results = train_all(train, FEATURES, grids=TINY, folds=2, key=line_hash, ties=KEYS, parallelism=4)
+    results = train_all(train, FEATURES, grids=TINY, folds=2, key=line_hash, ties=KEYS, parallelism=8)
     return training_summary(spark, results).select(
         "framework",
         "model",
         F.size("best_params").cast("int").alias("n_params"),
         F.col("cv_score").between(0.6, 1.0).alias("score_plausible"),
         (F.col("train_time") >= F.col("search_s")).alias("times_add_up"),
-        F.lit(train.count()).alias("n_train"),
+        F.lit(train.count()).cast("bigint").alias("n_train"),
     )
 
 
