@@ -24,7 +24,7 @@ def score_bounds(scores: DataFrame, score: str = "score", buckets: int | None =
     if buckets < 2:
         return []
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    accuracy = max(10_000, 10 * buckets)
+    accuracy = max(1_000, 4 * buckets)
     row = scores.agg(F.percentile_approx(score, shares, accuracy).alias("bounds")).head()
     return sorted({b for b in row["bounds"] or [] if abs(b) != float("inf")})
 
@@ -62,15 +62,19 @@ def classification_metrics(
     )
     if bounds is None:
         bounds = score_bounds(rows, "_score", buckets)
-    ranged = Bucketizer(
-        splits=[-float("inf"), *bounds, float("inf")], inputCol="_score", outputCol="_range"
-    ).transform(rows) if bounds else rows.withColumn("_range", F.lit(0.0))
+    ranged = rows.withColumn("_range", F.lit(0))
+    if bounds:
+        splits = [-float("inf"), *bounds, float("inf")]
+        found = Bucketizer(splits=splits, inputCol="_score", outputCol="_found").transform(rows)
+        # As an integer key the range stays the partitioning of window and aggregate alike.
+        ranged = found.withColumn("_range", F.col("_found").cast("int"))
     per_score = ranged.groupBy(*by, "_range", "_score").agg(
         F.sum("_pos").alias("pos"),
         (F.count("*") - F.sum("_pos")).alias("neg"),
         F.sum("_correct").alias("correct"),
     )
-    inside = Window.partitionBy(*by, "_range").orderBy("_score")
+    up_to_here = (Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*by, "_range").orderBy("_score").rowsBetween(*up_to_here)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     neg_below = F.sum("neg").over(inside).cast("double") - neg
     per_range = (
@@ -84,7 +88,7 @@ def classification_metrics(
         )
     )
     # One row per range from here on: at most `buckets` rows a group.
-    across = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range")
+    across = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(*up_to_here)
     below = F.sum("neg").over(across).cast("double") - neg
     totals = per_range.withColumn("_won", F.col("_won") + pos * below).groupBy(*by).agg(
         F.sum("_won").alias("_won"),

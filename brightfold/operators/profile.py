@@ -64,7 +64,10 @@ def summary_statistics(
         values,
         "feature",
         "value",
-        lambda _, size: [rank for p in QUARTILES for rank in quantile_ranks(size, p)],
+        lambda sizes: {
+            name: [rank for p in QUARTILES for rank in quantile_ranks(size, p)]
+            for name, size in sizes.items()
+        },
         near=QUARTILES,
         extras=columns,
         bracket_rows=bracket_rows,
@@ -111,16 +114,18 @@ def class_histogram(
     """Density histogram per (feature, class), empty bins included.
 
     Edges run over each class's own range, or over the range of both with
-    `shared_edges`. The range table has two rows per feature at most, since
-    labels other than 0 and 1 are left out: it is safe to broadcast.
+    `shared_edges`. Labels other than 0 and 1 are left out, so the ranges are
+    two rows per feature at most: they pass through the driver and are
+    broadcast. The input is read twice, with one small shuffle each time.
     """
     values = (
         _long_values(df.where(F.col(label).isin(0, 1)), features, [label])
         .where(F.col("value").isNotNull())
     )
-    ranges = values.groupBy("feature", label).agg(
+    found = values.groupBy("feature", label).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n")
     )
+    ranges = df.sparkSession.createDataFrame(found.collect(), found.schema)
     if shared_edges:
         both = Window.partitionBy("feature")
         ranges = ranges.withColumns({
@@ -136,7 +141,7 @@ def class_histogram(
     start = F.when(constant, F.col("low") - 0.5).otherwise(F.col("low"))
     width = F.when(constant, F.lit(1.0)).otherwise(F.col("high") - F.col("low")) / F.lit(float(bins))
     every_bin = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    filled = every_bin.join(counts, ["feature", label, "bin"], "left")
+    filled = every_bin.join(F.broadcast(counts), ["feature", label, "bin"], "left")
     n_in_bin = F.coalesce("n_in_bin", F.lit(0))
     return filled.select(
         "feature",

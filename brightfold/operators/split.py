@@ -87,8 +87,11 @@ def stratified_kfold(
     Within each class, rows ordered by hash key are cut into equal runs. The
     cuts are exact order statistics, so the rows themselves are not shuffled.
     """
-    def cuts(_, size):
-        return [i * (size // folds) + min(i, size % folds) for i in range(1, folds)]
+    def cuts(sizes):
+        return {
+            name: [i * (size // folds) + min(i, size % folds) for i in range(1, folds)]
+            for name, size in sizes.items()
+        }
 
     return rank_parts(df, label, key, ties, cuts, out, bracket_rows)
 
@@ -105,12 +108,6 @@ def sample_quotas(counts: Mapping, n_rows: int) -> dict:
     return quotas
 
 
-def class_counts(df: DataFrame, label: str = config.LABEL) -> dict:
-    """Rows per class. Labels are 0 or 1: at most two rows reach the driver."""
-    rows = df.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()
-    return {row[label]: row["count"] for row in rows}
-
-
 def stratified_sample(
     df: DataFrame,
     n_rows: int,
@@ -119,12 +116,11 @@ def stratified_sample(
     label: str = config.LABEL,
     bracket_rows: int = BRACKET_ROWS,
 ) -> DataFrame:
-    """Exactly `n_rows` rows in class proportion; all rows if there are fewer."""
-    counts = class_counts(df, label)
-    quotas = sample_quotas(counts, n_rows)
-    if quotas == counts:
-        return df
-    parts = rank_parts(df, label, key, ties, lambda c, _: [quotas.get(c, 0)], "_part", bracket_rows)
+    """Exactly `n_rows` labelled rows in class proportion; all of them if there are fewer."""
+    def cuts(sizes):
+        return {name: [quota] for name, quota in sample_quotas(sizes, n_rows).items()}
+
+    parts = rank_parts(df, label, key, ties, cuts, "_part", bracket_rows)
     return parts.where(F.col("_part") == 0).drop("_part")
 
 
@@ -148,13 +144,13 @@ def rank_parts(
     stratum: str,
     key: Column,
     ties: Sequence[str],
-    cuts: Callable[[object, int], Sequence[int]],
+    cuts: Callable[[Mapping], Mapping],
     out: str,
     bracket_rows: int = BRACKET_ROWS,
 ) -> DataFrame:
     """Number the runs between cut ranks, per stratum, in (key, ties) order.
 
-    `key` is an integer hash below 2**53. The cuts are found by order statistics
+    `cuts` gets the rows of each stratum and gives its cut ranks. `key` is an integer hash below 2**53. The cuts are found by order statistics
     on the hash; rows that share a cut's hash are ordered by `ties` and then by
     all other columns, so only identical rows stay undecided, and those are
     divided by count. Assigning a part is then a comparison with literals.
@@ -164,9 +160,11 @@ def rank_parts(
     hashed = df.select("*", key.cast("double").alias("_h"))
     wanted_cuts = {}
 
-    def wanted(name, size):
-        wanted_cuts[name] = list(cuts(name, size))
-        return sorted({c for c in wanted_cuts[name] if 0 < c < size})
+    def wanted(sizes):
+        wanted_cuts.update(cuts(sizes))
+        return {
+            name: [c for c in ranks if 0 < c < sizes[name]] for name, ranks in wanted_cuts.items()
+        }
 
     found = order_statistics(
         hashed.select(stratum, "_h"), stratum, "_h", wanted, bracket_rows=bracket_rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from brightfold import config
 from brightfold.functions.expressions import as_label, is_missing
@@ -41,7 +41,7 @@ def cast_label(df: DataFrame, label: str = config.LABEL) -> DataFrame:
 
 
 def label_rejects(df: DataFrame, label: str = config.LABEL) -> DataFrame:
-    """One row: how many labels are missing or neither 0 nor 1."""
+    """One row from one scan: the rows, and the labels that are missing or neither 0 nor 1."""
     valid = F.coalesce(F.col(label).isin(0, 1), F.lit(False))
     return df.agg(F.count("*").alias("n_rows"), F.count_if(~valid).alias("n_rejected"))
 
@@ -78,8 +78,3 @@ def choose_split(df: DataFrame, split: str = "train", fold: str = "fold") -> Dat
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"))
 
-
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """Count the rows of the first action on the frame, without a scan of its own."""
-    observation = Observation(name)
-    return df.observe(observation, F.count("*").alias("n_rows")), observation

@@ -13,6 +13,10 @@ def frame(spark, groups, partitions=3):
     return spark.createDataFrame(rows, "g string, v double").repartition(partitions)
 
 
+def per_group(wanted):
+    return lambda sizes: {g: wanted(g, n) for g, n in sizes.items()}
+
+
 def check(found, groups, wanted):
     for g, values in groups.items():
         ordered = sorted(values)
@@ -39,12 +43,12 @@ GROUPS = {
 
 @pytest.mark.parametrize("limit", [10, 200, 1_000_000])
 def test_ranks_equal_sorting(spark, limit):
-    found = order_statistics(frame(spark, GROUPS), "g", "v", spaced, bracket_rows=limit)
+    found = order_statistics(frame(spark, GROUPS), "g", "v", per_group(spaced), bracket_rows=limit)
     check(found, GROUPS, spaced)
 
 
 def test_probing_elsewhere_still_finds_the_rank(spark):
-    found = order_statistics(frame(spark, GROUPS), "g", "v", spaced, near=[0.99], bracket_rows=50)
+    found = order_statistics(frame(spark, GROUPS), "g", "v", per_group(spaced), near=[0.99], bracket_rows=50)
     check(found, GROUPS, spaced)
 
 
@@ -62,10 +66,10 @@ def test_brackets_that_miss_are_widened(spark):
 
 def test_nulls_left_out_and_bad_rank_refused(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), (None, 3.0), ("b", None)], "g string, v double")
-    found = order_statistics(df, "g", "v", lambda g, n: [n - 1])
+    found = order_statistics(df, "g", "v", per_group(lambda g, n: [n - 1]))
     assert found.sizes == {"a": 1, "b": 0} and found.hits["a"][0].value == 1.0
     with pytest.raises(ValueError):
-        order_statistics(df, "g", "v", lambda g, n: [n])
+        order_statistics(df, "g", "v", per_group(lambda g, n: [n]))
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -73,4 +77,4 @@ def test_nulls_left_out_and_bad_rank_refused(spark):
 def test_any_values(spark, values):
     groups = {"a": [float(v) + 0.0 for v in values]}
     every = lambda _, n: range(n)
-    check(order_statistics(frame(spark, groups, 2), "g", "v", every, bracket_rows=3), groups, every)
+    check(order_statistics(frame(spark, groups, 2), "g", "v", per_group(every), bracket_rows=3), groups, every)

@@ -55,12 +55,6 @@ def test_any_name_but_train_is_the_test_side(spark):
     assert tables.choose_split(df, "holdout").count() == 4
 
 
-def test_rows_counted_by_the_first_action(spark, tmp_path):
-    df, observation = tables.counted(spark.range(37))
-    df.write.parquet(str(tmp_path / "out"))
-    assert observation.get["n_rows"] == 37
-
-
 def test_result_tables_round_trip(spark, tmp_path):
     rows = [("native", "Random Forest", {"n_estimators": 50.0}, 0.81234, 1.5, 0.5, 2.0)]
     df = spark.createDataFrame(rows, results.SUMMARY_SCHEMA)
