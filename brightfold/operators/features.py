@@ -56,6 +56,8 @@ class PopulationScaler(Estimator, HasInputCols, HasOutputCol):
             Summarizer.metrics("mean", "std", "count").summary(F.col("_raw")).alias("s")
         ).head()["s"]
         n = row["count"]
+        if not n:
+            raise ValueError("no rows to fit the scaling on")
         shrink = ((n - 1) / n) ** 0.5
         scaled = []
         for c, mean, std in zip(columns, row["mean"], row["std"]):

@@ -31,6 +31,23 @@ def positive_probability(df: DataFrame, probability: str = "probability", out: s
     return df.withColumn(out, vector_to_array(F.col(probability))[1])
 
 
+def append_scores(df: DataFrame, models: Sequence) -> DataFrame:
+    """`prediction_i` and `score_i` of every model, appended in one projection."""
+    columns, scored = df.columns, df
+    for i, model in enumerate(models):
+        last = model.stages[-1] if isinstance(model, PipelineModel) else model
+        scored = model.transform(scored, {
+            last.predictionCol: f"prediction_{i}",
+            last.probabilityCol: f"_probability_{i}",
+            last.rawPredictionCol: f"_raw_{i}",
+        })
+        if isinstance(model, PipelineModel):
+            scored = scored.drop(*_made_columns(model))
+        scored = positive_probability(scored, f"_probability_{i}", f"score_{i}")
+    made = [f"{name}_{i}" for i in range(len(models)) for name in ("prediction", "score")]
+    return scored.select(*columns, *made)
+
+
 def score_models(
     df: DataFrame,
     models: Mapping[tuple, object],
@@ -39,23 +56,16 @@ def score_models(
 ) -> DataFrame:
     """One row per (row, model): `names` identify the model, with prediction and score.
 
-    All models are applied in one projection over one scan of the input, then
-    the columns are turned into rows; nothing is shuffled. The width is the
-    number of models, which the caller chose.
+    All models are applied over one scan of the input, then the columns are
+    turned into rows; nothing is shuffled. The width is the number of models,
+    which the caller chose.
     """
-    scored, entries = df, []
-    for i, (key, model) in enumerate(models.items()):
-        last = model.stages[-1] if isinstance(model, PipelineModel) else model
-        scored = model.transform(scored, {
-            last.predictionCol: f"_prediction_{i}",
-            last.probabilityCol: f"_probability_{i}",
-            last.rawPredictionCol: f"_raw_{i}",
-        })
-        if isinstance(model, PipelineModel):
-            scored = scored.drop(*_made_columns(model))
-        entries.append(F.struct(
+    entries = F.array(*[
+        F.struct(
             *[F.lit(part).alias(name) for part, name in zip(key, names)],
-            F.col(f"_prediction_{i}").alias("prediction"),
-            vector_to_array(F.col(f"_probability_{i}"))[1].alias("score"),
-        ))
-    return scored.select(*keep, F.inline(F.array(*entries)))
+            F.col(f"prediction_{i}").alias("prediction"),
+            F.col(f"score_{i}").alias("score"),
+        )
+        for i, key in enumerate(models)
+    ])
+    return append_scores(df, list(models.values())).select(*keep, F.inline(entries))

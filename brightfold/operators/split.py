@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brightfold import config
 from brightfold.functions.expressions import HASH_MODULUS
@@ -19,7 +19,7 @@ COPIES_PER_TASK_ROW = 10_000
 
 
 def kfold(df: DataFrame, key: Column, folds: int = config.FOLDS, out: str = "fold") -> DataFrame:
-    """Fold by key: a projection, no pass over the data."""
+    """Fold by key: a projection, no pass over the data. Rows of one key share a fold."""
     return df.withColumn(out, (key % F.lit(folds)).cast("int"))
 
 
@@ -205,7 +205,17 @@ def rank_parts(
 
 
 def _tie_boundaries(hashed, stratum, order, inner):
-    """For cuts that fall among equal hashes: the tuple at the cut, its first rank, its copies."""
+    """For cuts that fall among equal hashes: the tuple at the cut, its first rank, its copies.
+
+    Tuples travel as text and are cast back, so columns must survive that.
+    """
+    bad = [
+        c for c in order
+        if isinstance(hashed.schema[c].dataType, (T.BinaryType, T.ArrayType, T.MapType, T.StructType,
+                                                  T.UserDefinedType))
+    ]
+    if bad:
+        raise ValueError(f"rows tie at a cut and cannot be ordered by {bad}: split before assembling")
     schema = hashed.select(stratum, "_h").schema.add("_below", "long").add("_rank", "long")
     cut_rows = [(name, hit.value, hit.below, rank) for (name, rank), hit in inner.items()]
     cuts = hashed.sparkSession.createDataFrame(cut_rows, schema)

@@ -21,7 +21,7 @@ from brightfold.operators.estimators import (
     with_validation_flag,
 )
 from brightfold.operators.features import feature_stages
-from brightfold.operators.scoring import positive_probability, predict, score_models
+from brightfold.operators.scoring import append_scores, positive_probability, predict, score_models
 from brightfold.plans.evaluate import evaluate_models, evaluate_saved
 from brightfold.plans.inputs import FEATURES, KEYS, base, line_hash, persisted
 from brightfold.plans.train import train_all, training_summary
@@ -287,24 +287,25 @@ def model_roundtrip(spark, sf_dir):
             "gbt": make_estimator("gbt", maxIter=3).fit(data),
         }
     model_files.save_overwriting(transform, model_files.feature_path(root, "native"))
-    models = {}
-    reloaded = None
+    reloaded = model_files.load_features(model_files.feature_path(root, "native"))
+    models = []
     for family, model in fitted.items():
         path = model_files.model_path(root, "native", family)
         model_files.save_overwriting(model, path)
-        reloaded = model_files.load_features(model_files.feature_path(root, "native"))
-        models[family, "before"] = PipelineModel([transform, model])
-        models[family, "after"] = PipelineModel([reloaded, model_files.load_model(family, path)])
-    test = _test(spark, sf_dir)
-    scores = score_models(test, models, ["family", "side"], [*KEYS, *FEATURES])
-    per_row = scores.groupBy("family", *KEYS, *FEATURES).agg(
-        F.count("*").alias("n"),
-        (F.max("score") - F.min("score")).alias("spread"),
-        F.count_distinct("prediction").alias("n_predictions"),
-    )
-    return per_row.groupBy("family").agg(
-        (F.sum("n") / 2).cast("bigint").alias("n_rows"),
-        F.count_if((F.col("spread") > 0) | (F.col("n_predictions") > 1)).alias("n_different"),
+        models.append(PipelineModel([transform, model]))
+        models.append(PipelineModel([reloaded, model_files.load_model(family, path)]))
+    scored = append_scores(_test(spark, sf_dir), models)
+    same = [
+        (F.col(f"score_{i}") == F.col(f"score_{i + 1}"))
+        & (F.col(f"prediction_{i}") == F.col(f"prediction_{i + 1}"))
+        for i in range(0, len(models), 2)
+    ]
+    sides = F.array(*[
+        F.struct(F.lit(family).alias("family"), equal.alias("same"))
+        for family, equal in zip(fitted, same)
+    ])
+    return scored.select(F.inline(sides)).groupBy("family").agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.col("same")).alias("n_different")
     )
 
 

@@ -47,7 +47,9 @@ def train_all(
     The native profile assigns folds by key and searches on all rows. The exact
     profile stratifies its folds, and its search scores candidates on a
     stratified sample and refits on a larger one. `key(seed)` is an integer row
-    hash, of all columns when not given. `leak_free` fits the scaling inside
+    hash, of all columns when not given. With a time budget the candidates
+    scored depend on the machine, so there is none unless asked for
+    (`config.TIME_BUDGET_S`). `leak_free` fits the scaling inside
     each fold instead of once on all training rows.
     """
     if method not in METHODS:

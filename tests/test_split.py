@@ -123,3 +123,10 @@ def test_hash_sample_is_a_filter(spark):
         spark.range(100).withColumn("label", (F.col("id") % 2).cast("int")), {0: 0.5, 1: 0.1}, key_hash(["id"])
     )
     assert "Exchange" not in lazy._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unorderable_columns_are_refused_only_where_rows_tie(spark):
+    df = spark.createDataFrame([(i, i % 2, [float(i)]) for i in range(40)], "k int, label int, v array<double>")
+    assert split.stratified_kfold(df, F.col("k"), ["k"], 4).count() == 40
+    with pytest.raises(ValueError, match="cannot be ordered"):
+        split.stratified_kfold(df, F.lit(1), ["k"], 4)
