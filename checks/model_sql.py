@@ -11,13 +11,12 @@ from __future__ import annotations
 from checks.data_sql import (
     FEATURES,
     N_TRAIN,
-    STRATA,
+    ROW_ORDER,
     auc_ctes,
     line_hash,
     union,
     with_base,
 )
-from checks.data_sql import KEYS, ROW_ORDER
 
 K = len(FEATURES)
 STEPS = 9
