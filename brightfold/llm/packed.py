@@ -3,7 +3,7 @@
 Tasks hand over one row of arrays for each group of keys in place of a row for each
 key. A key that repeats within a chunk is settled there and sent once, so the
 commonest key costs a group one entry for each chunk, whatever the number of its
-occurrences; the groups' number follows the size of the input.
+occurrences; settled entries travel along to groups dealt by row; the groups' number follows the size of the input.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from brightfold.llm.common import mix
+
 PACKED = "bucket int, keys binary, orders binary, rows binary, spots binary, state binary"
 FOUND = "row long, spot int"
 
@@ -61,22 +63,23 @@ def settle(rule: str, keys, orders, rows, spots, state):
     return settled, spoken, open_
 
 
-def pack(rule: str, buckets: int, keys, orders, rows, spots) -> pd.DataFrame | None:
-    """One chunk's entries as packed rows; settled ones travel along under their key's group."""
+def pack(rule: str, buckets: int, keys, orders, rows, spots, keyed: bool = False) -> pd.DataFrame | None:
+    """One chunk's entries as packed rows; settled ones travel along, dealt out by row; keyed keeps their keys."""
     if not len(keys):
         return None
     settled, spoken, open_ = settle(rule, keys, orders, rows, spots, None)
     sides = [(open_, OPEN), (spoken, SPOKEN), (settled, SETTLED)]
     at = np.concatenate([np.flatnonzero(mask) for mask, _ in sides])
     state = np.concatenate([np.full(int(mask.sum()), s, np.int8) for mask, s in sides])
-    where = ((keys[at] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    by = np.where(state == SETTLED, mix(rows[at].astype(np.uint64)), keys[at])
+    where = ((by >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
     turn = np.lexsort((at, where))
     at, state, where = at[turn], state[turn], where[turn]
     cut = np.flatnonzero(np.diff(where, prepend=-1))
     ends = np.append(cut[1:], len(at))
     k, o, r, s = keys[at], orders[at], rows[at], spots[at].astype(np.int32)
-    # settled entries need no key, and rows in order lie close together
-    k[state == SETTLED] = 0
+    if not keyed:
+        k[state == SETTLED] = 0
     return pd.DataFrame({
         "bucket": where[cut].astype(np.int32),
         "keys": [k[a:b].tobytes() for a, b in zip(cut, ends)],
@@ -87,8 +90,8 @@ def pack(rule: str, buckets: int, keys, orders, rows, spots) -> pd.DataFrame | N
     })
 
 
-def found(packed: DataFrame, rule: str) -> DataFrame:
-    """(row, spot) of every settled entry, over the packed rows of all chunks."""
+def found(packed: DataFrame, rule: str, keyed: bool = False) -> DataFrame:
+    """(row, spot), with keyed (row, spot, key), of every settled entry, over the packed rows of all chunks."""
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(frame["keys"]), np.uint64)
@@ -101,9 +104,10 @@ def found(packed: DataFrame, rule: str) -> DataFrame:
         settled, _, _ = settle(rule, keys[live], orders[live], rows[live], spots[live], state[live])
         take = ~live
         take[np.flatnonzero(live)[settled & (state[live] == OPEN)]] = True
-        return pd.DataFrame({"row": rows[take], "spot": spots[take]})
+        out = {"row": rows[take], "spot": spots[take]}
+        return pd.DataFrame(out | {"key": keys[take].view(np.int64)} if keyed else out)
 
-    return packed.groupBy("bucket").applyInPandas(of, FOUND)
+    return packed.groupBy("bucket").applyInPandas(of, FOUND + ", key long" * keyed)
 
 
 def by_row(hits: DataFrame) -> DataFrame:

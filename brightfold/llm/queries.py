@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightfold.llm import line_dedup, substring_dedup
+from brightfold.llm import jaccard_join, line_dedup, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have Jaccard 0.8 or more."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after 13-word windows that an earlier document has are removed."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -24,6 +29,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
