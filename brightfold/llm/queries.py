@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightfold.llm import jaccard_join, line_dedup, substring_dedup
+from brightfold.llm import decontaminate, jaccard_join, kd_shards, line_dedup, mixing, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +18,31 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty shards of nearly equal bytes."""
+    return kd_shards.shard(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after 13-word windows that an earlier document has are removed."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item, with the passage."""
+    found = decontaminate.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row")
+
+
+#: Target weights of the production mix; what is not named weighs 1.
+WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for three quarters of all tokens, mixed to the target weights, two epochs at most."""
+    return mixing.select(table(spark, sf_dir, "documents"), WEIGHTS, share=(3, 4), epochs=2, seed=42)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines left after later occurrences of three-line windows are removed."""
     return line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents")).drop("kept")
@@ -30,6 +50,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_kd_shards": op4_kd_shards,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_decontaminate": op6_decontaminate,
+    "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
