@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightfold.llm import decontaminate, jaccard_join, kd_shards, line_dedup, mixing, substring_dedup
+from brightfold.llm import decontaminate, jaccard_join, kd_shards, line_dedup, mixing, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that aren't held out."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Target weights of the production mix; what is not named weighs 1.
 WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_kd_shards": op4_kd_shards,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }

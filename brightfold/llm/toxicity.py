@@ -36,7 +36,7 @@ SPAN, DECAY = 6, 0.7
 TOXIC_LANDMARKS, PLAIN_LANDMARKS = 56, 8
 RIDGE = 0.1
 FOLDS = 5
-WORDS_KEPT, WORDS_AT_ONCE = 100_000, 50_000
+WORDS_KEPT, WORDS_AT_ONCE = 200_000, 50_000
 #: Characters of a word taken at once; longer ones are read in overlapping pieces.
 PIECE = 64
 
@@ -102,13 +102,18 @@ class Reader:
 
     def clear(self):
         self.number: dict[bytes, int] = {}
-        self.rows = np.zeros((0, len(self.kernel.landmarks)), np.float32)
-        self.ends, self.single = np.zeros(0, bool), np.zeros(0, bool)
+        self.rows = np.zeros((4096, len(self.kernel.landmarks)), np.float32)
+        self.ends, self.single = np.zeros(4096, bool), np.zeros(4096, bool)
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         fresh = [w for w in dict.fromkeys(words) if w not in self.number]
         if fresh:
-            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+            known, size = len(self.number), len(self.number) + len(fresh)
+            self.number.update(zip(fresh, range(known, size)))
+            if size > len(self.rows):
+                more = max(size, 2 * len(self.rows)) - len(self.rows)
+                self.rows = np.concatenate([self.rows, np.zeros((more, self.rows.shape[1]), np.float32)])
+                self.ends, self.single = (np.append(x, np.zeros(more, bool)) for x in (self.ends, self.single))
             spelled = [w.decode("utf-8", "replace").lower() for w in fresh]
             pieces, whose = [], []
             for i, w in enumerate(spelled):
@@ -118,25 +123,62 @@ class Reader:
             rows = self.kernel.of(pieces)
             if len(pieces) > len(fresh):
                 rows = np.maximum.reduceat(rows, np.flatnonzero(np.diff(whose, prepend=-1)), axis=0)
-            self.rows = np.concatenate([self.rows, rows])
-            self.ends = np.append(self.ends, [w[-1:] in ".!?" for w in spelled])
-            self.single = np.append(self.single, [len(w) == 1 for w in spelled])
+            self.rows[known:size] = rows
+            self.ends[known:size] = [w[-1:] in ".!?" for w in spelled]
+            self.single[known:size] = [len(w) == 1 for w in spelled]
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
-    def sentences(self, text: bytes) -> Iterator[np.ndarray]:
-        """Similarity rows of the text's sentences, some at a time; a cut sentence counts as two."""
-        words = text.lower().split()
-        for a in range(0, len(words), WORDS_AT_ONCE):
-            if len(self.number) > WORDS_KEPT:
-                self.clear()
-            some = words[a : a + WORDS_AT_ONCE]
-            at = self._numbers(some)
-            single = np.flatnonzero(np.diff(np.concatenate([[0], self.single[at], [0]]).astype(int)))
-            for x, y in zip(single[::2][::-1], single[1::2][::-1]):
-                if y - x >= 3:
-                    at = np.insert(at, y - 1, self._numbers([b"".join(some[x:y])]))
-            starts = np.flatnonzero(np.append(True, self.ends[at][:-1]))
-            yield np.maximum.reduceat(self.rows[at], starts, axis=0)
+    def sentences(self, parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Similarity rows of the sentences of some lists of words, and the first row of each list."""
+        if len(self.number) > WORDS_KEPT:
+            self.clear()
+        words = [w for part in parts for w in part]
+        at = self._numbers(words)
+        heads = np.zeros(len(at), bool)
+        heads[np.cumsum([0, *map(len, parts[:-1])])] = True
+        starts = heads.copy()
+        starts[1:] |= self.ends[at[:-1]]
+        single = self.single[at]
+        if (single[:-2] & single[1:-1] & single[2:]).any():
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]]).astype(int)))
+            where, spelled = [], []
+            for x, y in zip(edges[::2], edges[1::2]):
+                cuts = [x, *(x + 1 + np.flatnonzero(heads[x + 1 : y])), y]
+                for u, v in zip(cuts, cuts[1:]):
+                    if v - u >= 3:
+                        where.append(v - 1)
+                        spelled.append(b"".join(words[u:v]))
+            if where:
+                at = np.insert(at, where, self._numbers(spelled))
+                heads, starts = np.insert(heads, where, False), np.insert(starts, where, False)
+        first = np.flatnonzero(starts)
+        return np.maximum.reduceat(self.rows[at], first, axis=0), np.flatnonzero(heads[first])
+
+    def highest(self, texts: list[bytes], weights: np.ndarray) -> np.ndarray:
+        """Highest sentence of each text; 0 without words. A sentence over WORDS_AT_ONCE words counts as several."""
+        out = np.zeros(len(texts), np.float64)
+        seen = np.zeros(len(texts), bool)
+        parts, owners, held = [], [], 0
+
+        def flush():
+            rows, first = self.sentences(parts)
+            top = np.maximum.reduceat(rows @ weights, first)
+            for i, value in zip(owners, top.tolist()):
+                out[i] = max(out[i], value) if seen[i] else value
+                seen[i] = True
+
+        for i, text in enumerate(texts):
+            words = text.lower().split()
+            for a in range(0, len(words), WORDS_AT_ONCE):
+                parts.append(words[a : a + WORDS_AT_ONCE])
+                owners.append(i)
+                held += len(parts[-1])
+                if held >= WORDS_AT_ONCE:
+                    flush()
+                    parts, owners, held = [], [], 0
+        if parts:
+            flush()
+        return out
 
 
 @dataclass
@@ -147,11 +189,9 @@ class Model:
     slope: float
     shift: float
 
-    def margin(self, reader: Reader, text: bytes) -> float:
-        return max((float((rows @ self.weights).max()) for rows in reader.sentences(text)), default=0.0) + self.bias
-
-    def score(self, reader: Reader, text: bytes) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(reader, text) + self.shift, -30, 30))))
+    def scores(self, reader: Reader, texts: list[bytes]) -> np.ndarray:
+        margins = reader.highest(texts, self.weights) + self.bias
+        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1.0):
@@ -224,7 +264,7 @@ def fit(texts: list[bytes], labels: list[int], shares: tuple[float, float]) -> M
     spread = vectors / np.sqrt(np.maximum(values, 0) + RIDGE)
     reader = Reader(kernel)
     nothing = np.zeros((1, len(kernel.landmarks)), np.float32)
-    bags = [np.concatenate([nothing[:0], *reader.sentences(t)]) if t.split() else nothing for t in texts]
+    bags = [reader.sentences([t.lower().split()])[0] if t.split() else nothing for t in texts]
     first = np.array([1.0 if i < min(TOXIC_LANDMARKS, len(kernel.landmarks) - 1) else 0.0 for i in range(len(kernel.landmarks))])
     weights, bias = first, 0.0
     for turn in range(6):
@@ -278,7 +318,7 @@ def scorer(docs: DataFrame, model: Model):
         own = sent.value
         reader = Reader(own.kernel)
         for part in parts:
-            yield pd.Series([own.score(reader, (t or "").encode()) for t in part], dtype=float)
+            yield pd.Series(own.scores(reader, [(t or "").encode() for t in part]))
 
     of.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(of, "double")

@@ -1,11 +1,66 @@
-"""Corpus pipeline over `documents`; stages are added as their operators are ready."""
+"""Corpus pipeline: toxicity, near duplicates, decontamination, mixing, sharding.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
+the columns of `documents`. Stages filter by row content (id and text), so equal rows
+share a stage's verdict, and columns the stages do not know pass through.
+
+- toxicity: documents scored 0.5 or more go.
+- near duplicates: of each component of linked documents the one of smallest id stays.
+- decontamination: documents with a copy of a benchmark item go.
+- mixing: the documents of three quarters of the tokens left, to the target weights, in one epoch.
+- sharding: forty shards of nearly equal bytes, one row per document left.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from brightfold.llm import decontaminate, jaccard_join, kd_shards, mixing, queries, toxicity
+from brightfold.llm.common import written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = toxicity.with_score(docs, queries.table(spark, sf_dir, "labels"), "_toxicity")
+    return scored.where("_toxicity < 0.5").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of a document that isn't its component's smallest go; of rows of one id, all stay or go."""
+    later = jaccard_join.similar_groups(docs).where("NOT doc_id <=> component_id").select("doc_id").distinct()
+    return docs.join(later.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    copies = decontaminate.copies(docs, queries.table(spark, sf_dir, "benchmark")).select(F.col("row").alias("_row")).distinct()
+    return docs.join(copies, F.xxhash64("doc_id", "text") == F.col("_row"), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    chosen = mixing.select(docs, queries.WEIGHTS, share=(3, 4), epochs=1, seed=42)
+    keys = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_l"), F.col("source").alias("_s")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
+    return docs.join(keys, same, "left_semi")
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(docs, shards=40)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("sharding", sharded),
+]
+
+#: Scores of a trained model and shard cuts have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each one's rows written and read again; null ids and repeated rows pass."""
+    docs = queries.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
