@@ -4,15 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightfold.llm import decontaminate, jaccard_join, kd_shards, line_dedup, mixing, substring_dedup, toxicity
+from brightfold.llm import (
+    decontaminate, jaccard_join, kd_shards, line_dedup, mixing, quotes, substring_dedup, token_counts, topk, toxicity,
+)
+from brightfold.llm.common import scratch, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest embeddings of every hundredth one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, scale=1024, every=100)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after the load, the deletion of exact copies, and a repeated delivery of both."""
+    docs = table(spark, sf_dir, "documents")
+    rows = written(token_counts.counted(docs, token_counts.token_counter(spark)), "op2-counted")
+    version = F.lit("byte_bpe_50k").alias("tokenizer_version")
+    load = token_counts.signed(rows, 1, "byte_bpe_50k")
+    delete = token_counts.copies(rows).withColumn("tokenizer_version", version)
+    ledger = token_counts.Ledger(spark, scratch(spark, "op2-ledger"))
+    for batch, deltas in (("load", load), ("copies", delete), ("load", load), ("copies", delete)):
+        ledger.commit(batch, deltas)
+    return ledger.totals()
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have Jaccard 0.8 or more."""
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
@@ -39,6 +60,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chats read as mail that quotes the turns before: own texts, and what each message answers."""
+    return quotes.linked(quotes.quoting(table(spark, sf_dir, "conversations")))
+
+
 #: Target weights of the production mix; what is not named weighs 1.
 WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 
@@ -54,11 +80,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
+    "op2_token_counts": op2_token_counts,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_kd_shards": op4_kd_shards,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op8_quotation_links": op8_quotation_links,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }

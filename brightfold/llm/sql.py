@@ -35,5 +35,82 @@ kept AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k USING (doc_id)
+""",
+    "op1_topk": """
+WITH v AS (
+    SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, CAST(len(q.v) AS BIGINT) + 1)]) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM pairs)
+SELECT query_id, CAST(nth AS INT) AS rank, vec_id, score FROM ranked WHERE nth <= 10
+""",
+    "op8_quotation_links": r"""
+WITH RECURSIVE m AS (
+    SELECT *, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM conversations
+),
+keys AS (
+    SELECT DISTINCT conv_id, turn, norm FROM m WHERE norm <> ''
+    UNION
+    SELECT conv_id, turn, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) FROM (
+        SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM m)
+),
+links AS (
+    SELECT c.conv_id, c.turn, c.role, c.text, p.turn IS NOT NULL AS quotes, pp.turn IS NOT NULL AS twice,
+           (SELECT min(k.turn) FROM keys k WHERE k.conv_id = c.conv_id AND k.norm = p.norm AND k.norm <> '') AS up
+    FROM m c LEFT JOIN m p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1
+             LEFT JOIN m pp ON pp.conv_id = c.conv_id AND pp.turn = c.turn - 2
+),
+paths AS (
+    SELECT conv_id, turn, turn AS root_turn, 0 AS depth FROM links WHERE up IS NULL
+    UNION ALL
+    SELECT l.conv_id, l.turn, p.root_turn, p.depth + 1 FROM links l JOIN paths p ON p.conv_id = l.conv_id AND p.turn = l.up
+)
+SELECT conv_id, turn, role, trim(text) AS own_text, CAST(quotes AS INT) + CAST(twice AS INT) AS n_quoted,
+       CASE WHEN twice THEN 2 WHEN quotes THEN 1 ELSE 0 END AS quote_depth,
+       CASE WHEN up IS NOT NULL THEN conv_id END AS parent_conv_id, up AS parent_turn, root_turn, depth
+FROM links JOIN paths USING (conv_id, turn)
+""",
+    "op9_mixing": r"""
+WITH docs AS (
+    SELECT doc_id, lang, source, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+           'd' || CAST(ascii(substr(md5(source), 1, 1)) % 4 AS VARCHAR) AS domain FROM documents
+),
+w AS (
+    SELECT domain, lang, source, CAST(sum(n_tokens) AS HUGEINT) AS tokens, CAST(2 * sum(n_tokens) AS HUGEINT) AS cap,
+           CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 ELSE 1 END AS wd,
+           CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END AS wl
+    FROM docs GROUP BY ALL
+),
+d0 AS (SELECT domain, wd AS w, CAST(sum(cap) AS HUGEINT) AS cap, (SELECT CAST(sum(tokens) AS HUGEINT) * 3 // 4 FROM w) AS b FROM w GROUP BY ALL),
+d1 AS (SELECT *, CAST(sum(cap) OVER r - cap AS HUGEINT) AS bef, sum(w) OVER (ORDER BY CAST(cap AS DOUBLE) / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wl
+       FROM d0 WINDOW r AS (ORDER BY CAST(cap AS DOUBLE) / w, domain ROWS UNBOUNDED PRECEDING)),
+d2 AS (SELECT *, cap * wl <= (b - bef) * w AS f FROM d1),
+d3 AS (SELECT domain, CASE WHEN f THEN cap ELSE CAST((b - sum(CASE WHEN f THEN cap ELSE 0 END) OVER ()) * w AS HUGEINT) // CAST(sum(CASE WHEN f THEN 0 ELSE w END) OVER () AS HUGEINT) END AS b FROM d2),
+l0 AS (SELECT w.domain, w.lang, w.wl AS w, CAST(sum(cap) AS HUGEINT) AS cap, b FROM w JOIN d3 USING (domain) GROUP BY w.domain, w.lang, w.wl, b),
+l1 AS (SELECT *, CAST(sum(cap) OVER r - cap AS HUGEINT) AS bef, sum(w) OVER (PARTITION BY domain ORDER BY CAST(cap AS DOUBLE) / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wl
+       FROM l0 WINDOW r AS (PARTITION BY domain ORDER BY CAST(cap AS DOUBLE) / w, lang ROWS UNBOUNDED PRECEDING)),
+l2 AS (SELECT *, cap * wl <= (b - bef) * w AS f FROM l1),
+l3 AS (SELECT domain, lang, CASE WHEN f THEN cap ELSE CAST((b - sum(CASE WHEN f THEN cap ELSE 0 END) OVER p) * w AS HUGEINT) // CAST(sum(CASE WHEN f THEN 0 ELSE w END) OVER p AS HUGEINT) END AS b
+       FROM l2 WINDOW p AS (PARTITION BY domain)),
+s0 AS (SELECT w.domain, w.lang, w.source, 1 AS w, cap, tokens, b FROM w JOIN l3 USING (domain, lang)),
+s1 AS (SELECT *, CAST(sum(cap) OVER r - cap AS HUGEINT) AS bef, sum(w) OVER (PARTITION BY domain, lang ORDER BY CAST(cap AS DOUBLE) / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wl
+       FROM s0 WINDOW r AS (PARTITION BY domain, lang ORDER BY CAST(cap AS DOUBLE) / w, source ROWS UNBOUNDED PRECEDING)),
+s2 AS (SELECT *, cap * wl <= (b - bef) * w AS f FROM s1),
+s3 AS (SELECT domain, lang, source, tokens, CASE WHEN f THEN cap ELSE CAST((b - sum(CASE WHEN f THEN cap ELSE 0 END) OVER p) * w AS HUGEINT) // CAST(sum(CASE WHEN f THEN 0 ELSE w END) OVER p AS HUGEINT) END AS b
+       FROM s2 WINDOW p AS (PARTITION BY domain, lang)),
+plan AS (SELECT *, b // tokens AS whole, b % tokens AS rest FROM s3 WHERE tokens > 0),
+ranked AS (
+    SELECT d.*, whole, rest, sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source
+           ORDER BY md5('42:' || CAST(whole AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR))) AS sofar
+    FROM docs d JOIN plan USING (domain, lang, source)
+),
+taken AS (SELECT *, whole + CASE WHEN sofar <= rest AND rest > 0 THEN 1 ELSE 0 END AS n FROM ranked)
+SELECT doc_id, CAST(e AS INT) AS epoch, domain, lang, source, n_tokens
+FROM (SELECT *, unnest(range(CAST(n AS BIGINT))) AS e FROM taken WHERE n > 0)
 """,
 }
