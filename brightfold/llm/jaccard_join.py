@@ -8,16 +8,20 @@ sets with Jaccard 0.8 or more share at least o = ceil(0.8 n) shingles, n being e
 size; so their first n - o + l shingles share at least l, for any l up to o. Each
 document picks its own l: it lengthens its prefix while the estimated cost (postings
 read, plus postings / l candidates at the price of one verification each) falls. Of two
-documents the smaller l holds, since the longer prefix contains the shorter one.
+documents the smaller l holds, since the longer prefix contains the shorter one. The
+smaller document of a pair needs less: any partner at least as large shares 8/9 of its
+shingles, so only its first n - ceil(8n/9) + l count. What both prefixes leave bounds the
+shingles that can follow, and so the matches that a pair of given sizes needs.
 
 Frequencies are counted over all documents in a fixed table of hashed counters (2**18,
 summed in Spark), less the median counter, which is what chance collisions add. They set
 the order and the costs only; any order gives the same links.
 
 Components without all pairs. Shared postings first tie each document to the one it
-shares most prefix shingles with among its shingles' smallest and largest holders: two
-candidates a document at most, verified. Every pair that these ties leave in different
-components is then joined on its shingles, counted, held against l and verified. Each
+shares most prefix shingles with among its shingles' smallest and largest holders; then,
+as long as that finds links, to one in another component that has most links so far: at
+most two candidates a document and round, verified. Every pair that these ties leave in
+different components is then joined on its shingles, counted, held against l and verified. Each
 such pair has a member outside the shingle's largest component, so one side of the join
 is without that component and a group of near copies isn't paired with itself.
 """
@@ -39,7 +43,7 @@ from brightfold.llm.packed import PACKED, found, frames, pack
 SHINGLE = 5
 COUNTERS = 1 << 18
 #: Longest multi-match; price of verifying a candidate, in postings read for each shingle of the document.
-MOST_MATCHES = 4
+MOST_MATCHES = 8
 VERIFY_PRICE = 0.25
 
 SEEN = "row long, n int, high long, low long, counter int, df long"
@@ -62,6 +66,11 @@ def overlap_needed(n: int) -> int:
     return (4 * n + 4) // 5
 
 
+def overlap_of_smaller(n: int) -> int:
+    """Shingles that a set of n shares with a set it links to that is not smaller, at least."""
+    return (8 * n + 8) // 9
+
+
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(COUNTERS, np.int64)
     for chunk in chunks(batches, lower=True):
@@ -83,8 +92,12 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     }), preserve_index=False)
 
 
-def prefix(shingles: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, int]:
-    """Prefix and number of matches that a document picks; df is its shingles' estimated frequencies."""
+def prefix(shingles: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix that a document picks, and each entry's mark; df is its shingles' estimated frequencies.
+
+    A mark holds the size, the matches (below 16) and whether the entry counts when the
+    document is the smaller of a pair.
+    """
     n = len(shingles)
     order = np.lexsort((shingles, df))
     shortest, most = n - overlap_needed(n), min(MOST_MATCHES, overlap_needed(n))
@@ -92,7 +105,8 @@ def prefix(shingles: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, int]:
     matches = np.arange(1, most + 1)
     cost = read + VERIFY_PRICE * n * read / matches
     l = int(np.argmin(cost)) + 1
-    return shingles[order[: shortest + l]], l
+    taken = shingles[order[: shortest + l]]
+    return taken, (n * 16 + l) * 2 + (np.arange(len(taken)) < n - overlap_of_smaller(n) + l)
 
 
 def _postings(buckets: int, df):
@@ -102,10 +116,10 @@ def _postings(buckets: int, df):
             keys, rows, spots = [], [], []
             for r, s in zip(chunk.rows, shingle_sets(chunk)):
                 if len(s):
-                    taken, l = prefix(s, table[(s % np.uint64(COUNTERS)).astype(np.int64)])
+                    taken, marks = prefix(s, table[(s % np.uint64(COUNTERS)).astype(np.int64)])
                     keys.append(taken)
                     rows.append(np.full(len(taken), r["row"], np.int64))
-                    spots.append(np.full(len(taken), len(s) * 8 + l, np.int64))
+                    spots.append(marks)
             if keys:
                 rows = np.concatenate(rows)
                 yield pack("shared", buckets, np.concatenate(keys), rows, rows, np.concatenate(spots), keyed=True)
@@ -142,7 +156,16 @@ def _linked(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
 
 def _size(spot: str):
-    return F.shiftright(spot, 3)
+    return F.shiftright(spot, 5)
+
+
+def _matches(spot: str):
+    return F.shiftright(spot, 1).bitwiseAND(15)
+
+
+def _ceil(times: int, by: int, *sizes):
+    total = sum(sizes[1:], sizes[0])
+    return F.floor((total * times + (by - 1)) / by)
 
 
 def _fits(x: str, y: str):
@@ -188,8 +211,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("row", "down").agg(F.max_by("to", F.struct("count", "to")).alias("to"))
         .select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).distinct()
     )
+    ties = written(ties, "op3-first")
     tied = _linked(ties, texts, "op3-ties")
     of = components(tied, "op3-stars")
+    tried = ties
+    while not tied.isEmpty():
+        links = tied.select(F.col("a").alias("row")).union(tied.select("b")).groupBy("row").count()
+        placed = postings.join(of, "row", "left").join(links, "row", "left").withColumn(
+            "component", F.coalesce("component", "row")).withColumn("count", F.coalesce("count", F.lit(0)))
+        hubs = placed.groupBy("key").agg(
+            F.max(F.struct("count", "row", "component", "spot")).alias("hub"),
+            F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high AND hub.count > 0")
+        nearest = (
+            placed.join(hubs, "key").where("component <> hub.component").where(_fits("spot", "hub.spot"))
+            .groupBy("row", F.col("hub.row").alias("to")).agg(F.count("*").alias("shared"))
+            .select("row", "to", "shared", F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b"))
+            .join(tried, ["a", "b"], "left_anti")
+            .groupBy("row").agg(F.max_by("to", F.struct("shared", "to")).alias("to"))
+            .select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).distinct()
+        )
+        nearest = written(nearest, "op3-hubs")
+        fresh = _linked(nearest, texts, "op3-ties")
+        if fresh.isEmpty():
+            break
+        tied, tried = written(tied.union(fresh), "op3-ties"), written(tried.union(nearest), "op3-tried")
+        of = components(of.select(F.col("row").alias("a"), F.col("component").alias("b")).union(fresh), "op3-stars")
 
     placed = postings.join(of, "row", "left").withColumn("component", F.coalesce("component", "row"))
     parts = placed.groupBy("key", "component").count()
@@ -200,12 +246,18 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "key", F.col("row").alias("b"), F.col("spot").alias("sb"), F.col("component").alias("cb"))
     major = split.select("key", F.col("row").alias("a"), F.col("spot").alias("sa"), F.col("component").alias("ca"),
                          (F.col("component") != F.col("main")).alias("small"))
+    a_smaller = (_size("sa") < _size("sb")) | ((_size("sa") == _size("sb")) & (F.col("a") < F.col("b")))
+    counts = F.when(a_smaller, F.col("sa")).otherwise(F.col("sb")).bitwiseAND(1) == 1
+    na, nb = F.greatest(_size("sa"), _size("sb")), F.least(_size("sa"), _size("sb"))
+    la = F.when(a_smaller, _matches("sb")).otherwise(_matches("sa"))
+    lb = F.when(a_smaller, _matches("sa")).otherwise(_matches("sb"))
+    needed = F.greatest(F.least(la, lb), _ceil(4, 9, na, nb) - F.greatest(_ceil(8, 9, nb) - lb, _ceil(4, 5, na) - la))
     rest = (
         major.join(minor, (major["key"] == minor["key"]) & (F.col("ca") != F.col("cb"))
-                   & (~F.col("small") | (F.col("a") < F.col("b"))) & _fits("sa", "sb"))
+                   & (~F.col("small") | (F.col("a") < F.col("b"))) & _fits("sa", "sb") & counts)
         .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .agg(F.count("*").alias("shared"), F.first(F.least(F.col("sa").bitwiseAND(7), F.col("sb").bitwiseAND(7))).alias("l"))
-        .where("shared >= l").select("a", "b")
+        .agg(F.count("*").alias("shared"), F.max(needed).alias("needed"))
+        .where("shared >= needed").select("a", "b")
     )
     more = _linked(rest, texts, "op3-rest")
     several = ids.groupBy("row").agg(F.min("class_id").alias("b"), F.max("class_id").alias("top")).where("b <> top")
