@@ -173,6 +173,13 @@ def _fits(x: str, y: str):
     return (F.least(_size(x), _size(y)) * 100) >= (F.greatest(_size(x), _size(y)) * 80)
 
 
+def _apart(postings: DataFrame, of: DataFrame) -> DataFrame:
+    """Postings of shingles that documents of several components hold; components only merge, so the rest is settled."""
+    placed = postings.select("key", "row", "spot").join(of, "row", "left").withColumn("component", F.coalesce("component", "row"))
+    keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return written(placed.join(keys.select("key"), "key", "left_semi"), "op3-live")
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, class_id.
 
@@ -214,14 +221,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ties = written(ties, "op3-first")
     tied = _linked(ties, texts, "op3-ties")
     of = components(tied, "op3-stars")
-    tried = ties
-    while not tied.isEmpty():
+    tried, live = ties, _apart(postings, of)
+    while True:
         links = tied.select(F.col("a").alias("row")).union(tied.select("b")).groupBy("row").count()
-        placed = postings.join(of, "row", "left").join(links, "row", "left").withColumn(
-            "component", F.coalesce("component", "row")).withColumn("count", F.coalesce("count", F.lit(0)))
-        hubs = placed.groupBy("key").agg(
-            F.max(F.struct("count", "row", "component", "spot")).alias("hub"),
-            F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high AND hub.count > 0")
+        placed = live.join(links, "row", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+        hubs = placed.groupBy("key").agg(F.max(F.struct("count", "row", "component", "spot")).alias("hub")).where("hub.count > 0")
         nearest = (
             placed.join(hubs, "key").where("component <> hub.component").where(_fits("spot", "hub.spot"))
             .groupBy("row", F.col("hub.row").alias("to")).agg(F.count("*").alias("shared"))
@@ -232,16 +236,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
         nearest = written(nearest, "op3-hubs")
         fresh = _linked(nearest, texts, "op3-ties")
-        if fresh.isEmpty():
+        gained, asked = fresh.count(), nearest.count()
+        if gained:
+            of = components(of.select(F.col("row").alias("a"), F.col("component").alias("b")).union(fresh), "op3-stars")
+            live = _apart(live, of)
+        if gained * 20 < asked or not asked:
             break
         tied, tried = written(tied.union(fresh), "op3-ties"), written(tried.union(nearest), "op3-tried")
-        of = components(of.select(F.col("row").alias("a"), F.col("component").alias("b")).union(fresh), "op3-stars")
 
-    placed = postings.join(of, "row", "left").withColumn("component", F.coalesce("component", "row"))
-    parts = placed.groupBy("key", "component").count()
-    apart = parts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"),
-                                     F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    split = written(placed.join(apart, "key"), "op3-apart")
+    main = live.groupBy("key", "component").count().groupBy("key").agg(
+        F.max_by("component", F.struct("count", "component")).alias("main"))
+    split = written(live.join(main, "key"), "op3-apart")
     minor = split.where("component <> main").select(
         "key", F.col("row").alias("b"), F.col("spot").alias("sb"), F.col("component").alias("cb"))
     major = split.select("key", F.col("row").alias("a"), F.col("spot").alias("sa"), F.col("component").alias("ca"),
