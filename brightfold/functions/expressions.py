@@ -21,6 +21,10 @@ def is_missing(value: Column) -> Column:
     return value.isNull() | F.isnan(value)
 
 
+def finite_or_null(value: Column) -> Column:
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def as_label(value: Column) -> Column:
     """Truncating cast to int; values with no int become NULL instead of failing."""
     return value.try_cast("int")
@@ -31,17 +35,21 @@ def sigmoid(margin: Column) -> Column:
 
 
 def key_hash(columns: Sequence[str], seed: int = 0) -> Column:
-    """Hash of up to five non-negative integer keys in [0, HASH_MODULUS).
+    """Hash of integer keys of any sign and size in [0, HASH_MODULUS); NULL counts as a key of its own.
 
     Plain integer arithmetic: any SQL engine gives the same value, and the
-    value does not depend on how the rows are partitioned.
+    value does not depend on how the rows are partitioned. Every step is
+    reduced, so no 64-bit key overflows.
     """
-    if not 0 < len(columns) <= len(HASH_PRIMES):
-        raise ValueError(f"between 1 and {len(HASH_PRIMES)} key columns, got {len(columns)}")
-    total = F.lit(seed).cast("long")
-    for name, prime in zip(columns, HASH_PRIMES):
-        total = total + F.col(name).cast("long") * F.lit(prime)
-    return (total % F.lit(HASH_MODULUS)) * F.lit(HASH_FACTOR) % F.lit(HASH_MODULUS)
+    if not columns:
+        raise ValueError("at least one key column")
+    modulus = F.lit(HASH_MODULUS)
+    total = F.pmod(F.lit(seed).cast("long"), modulus)
+    for i, name in enumerate(columns):
+        prime = HASH_PRIMES[i] if i < len(HASH_PRIMES) else pow(HASH_FACTOR, i, HASH_MODULUS)
+        key = F.coalesce(F.pmod(F.col(name).cast("long"), modulus), F.lit(HASH_MODULUS - 1))
+        total = (total + key * F.lit(prime)) % modulus
+    return total * F.lit(HASH_FACTOR) % modulus
 
 
 def row_hash(columns: Sequence[str], seed: int = 0) -> Column:

@@ -10,17 +10,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from brightfold import config
 
-MAX_BUCKETS = 10_000
+ROWS_A_RANGE = 2_000_000
 
 
 def score_bounds(scores: DataFrame, score: str = "score", buckets: int | None = None) -> list[float]:
-    """Scores that cut all rows into `buckets` about equal ranges, at most 10,000.
+    """Scores that cut all rows into `buckets` about equal ranges.
 
-    By default four ranges per shuffle partition.
+    By default four ranges per shuffle partition, or as many as keep a range at two
+    million rows.
     """
     if buckets is None:
-        buckets = 4 * int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(MAX_BUCKETS, buckets)
+        partitions = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(4 * partitions, scores.count() // ROWS_A_RANGE + 1)
     if buckets < 2:
         return []
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
@@ -44,7 +45,8 @@ def classification_metrics(
     scores never pile up. Ranking runs inside score ranges of about equal size,
     cut at literal bounds, and the ranges are joined up by their totals: no task
     sees more than one range of one group. AUC is NULL where a class is absent.
-    Rows without a label or score are left out.
+    Rows without a label or score are left out, and so are NaN scores (`dropped_rows`
+    counts them). A label other than 0 and 1 fails the job.
 
     The bounds only balance the work. Those of similar scores (`score_bounds`)
     can be passed in, which saves the pass that finds them.
@@ -57,7 +59,8 @@ def classification_metrics(
     ).select(
         *by,
         F.col(score).cast("double").alias("_score"),
-        F.when(F.col(label) == 1, 1).otherwise(0).cast("long").alias("_pos"),
+        F.when(F.col(label) == 1, 1).when(F.col(label) == 0, 0).otherwise(
+            F.raise_error(F.lit("labels are 0 or 1")).cast("int")).cast("long").alias("_pos"),
         correct.alias("_correct"),
     )
     if bounds is None:
@@ -105,6 +108,14 @@ def classification_metrics(
     )
 
 
+def dropped_rows(
+    scores: DataFrame, by: Sequence[str] = (), label: str = config.LABEL, score: str = "score"
+) -> DataFrame:
+    """Rows per group that the metrics leave out: no label, no score, or a NaN score."""
+    missing = F.col(label).isNull() | F.col(score).isNull() | F.isnan(score)
+    return scores.groupBy(*by).agg(F.count_if(missing).alias("n_dropped"))
+
+
 def roc_auc(
     scores: DataFrame,
     by: Sequence[str] = (),

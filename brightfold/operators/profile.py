@@ -11,7 +11,7 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from brightfold import config
-from brightfold.functions.expressions import equal_width_bin, is_missing, nan_to_null
+from brightfold.functions.expressions import equal_width_bin, finite_or_null, is_missing, nan_to_null
 from brightfold.operators.projections import to_long
 from brightfold.operators.ranks import (
     BRACKET_ROWS,
@@ -114,13 +114,13 @@ def class_histogram(
     """Density histogram per (feature, class), empty bins included.
 
     Edges run over each class's own range, or over the range of both with
-    `shared_edges`. Labels other than 0 and 1 are left out, so the ranges are
+    `shared_edges`. Infinite values have no bin and count as missing. Labels other than 0 and 1 are left out, so the ranges are
     two rows per feature at most: they pass through the driver and are
     broadcast. The input is read twice, with one small shuffle each time.
     """
     values = (
         _long_values(df.where(F.col(label).isin(0, 1)), features, [label])
-        .where(F.col("value").isNotNull())
+        .where(finite_or_null(F.col("value")).isNotNull())
     )
     found = values.groupBy("feature", label).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n")

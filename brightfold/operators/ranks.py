@@ -107,7 +107,6 @@ def order_statistics(
 
 def _resolve(df, group, x, brackets, rows_inside, spans, result, limit):
     """Narrow the brackets until each is small, then count the values inside."""
-    widened = set()
     while brackets:
         zoned, tables = _with_zones(df, group, x, brackets)
         if any(rows_inside[key] > limit for key in brackets):
@@ -132,10 +131,9 @@ def _resolve(df, group, x, brackets, rows_inside, spans, result, limit):
                     brackets[name, rank] = new
                     rows_inside[name, rank] = inside * 8 / (len(GRID) - 1)
                 elif index % 4 == 0:
-                    # An approximate bracket missed its rank: take the whole span.
-                    brackets[name, rank] = spans[name]
-                    rows_inside[name, rank] = 0 if (name, rank) in widened else result.sizes[name]
-                    widened.add((name, rank))
+                    # An approximate bracket missed its rank: go on in the gap that holds it.
+                    brackets[name, rank] = _gap(tables[name], index, spans[name])
+                    rows_inside[name, rank] = inside
                 else:
                     edge = high if index % 4 == 3 else low
                     brackets[name, rank] = (edge, edge)
@@ -155,9 +153,8 @@ def _resolve(df, group, x, brackets, rows_inside, spans, result, limit):
         for row in hits:
             key = (row[group], row["_rank"])
             if row["_x"] is None:
-                brackets[key] = spans[key[0]]
-                rows_inside[key] = 0 if key in widened else result.sizes[key[0]]
-                widened.add(key)
+                brackets[key] = _gap(tables[key[0]], row["_zone"], spans[key[0]])
+                rows_inside[key] = row["n"]
             else:
                 hit = RankHit(row["_x"], row["end"] - row["n"], row["n"])
                 result.hits[key[0]][key[1]] = hit
@@ -197,6 +194,12 @@ def _with_zones(df, group, x, brackets):
     return joined.withColumn("_zone", zone).drop("_lows", "_highs"), tables
 
 
+def _gap(table, index, span):
+    """Bracket between two others, or an end of the span: the values of zone `index`."""
+    i = index // 4
+    return (table[i - 1][1] if i else span[0]), (table[i][0] if i < len(table) else span[1])
+
+
 def _disjoint(found):
     merged = []
     for low, high in sorted(set(found)):

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, functions as F
 from brightfold import config
 
 
-def _made_columns(model: PipelineModel) -> list[str]:
-    """Columns the stages before the classifier add."""
+def _made_columns(stages: Sequence) -> list[str]:
+    """Columns that stages add."""
     made = []
-    for stage in model.stages:
+    for stage in stages:
         if isinstance(stage, PipelineModel):
-            made += _made_columns(stage)
+            made += _made_columns(stage.stages)
         elif stage.hasParam("outputCol"):
             made.append(stage.getOrDefault("outputCol"))
     return made
@@ -32,18 +32,29 @@ def positive_probability(df: DataFrame, probability: str = "probability", out: s
 
 
 def append_scores(df: DataFrame, models: Sequence) -> DataFrame:
-    """`prediction_i` and `score_i` of every model, appended in one projection."""
+    """`prediction_i` and `score_i` of every model, appended in one projection.
+
+    Models that share the stages before the classifier have them applied once.
+    """
     columns, scored = df.columns, df
+    groups: dict[tuple, list] = {}
     for i, model in enumerate(models):
-        last = model.stages[-1] if isinstance(model, PipelineModel) else model
-        scored = model.transform(scored, {
-            last.predictionCol: f"prediction_{i}",
-            last.probabilityCol: f"_probability_{i}",
-            last.rawPredictionCol: f"_raw_{i}",
-        })
-        if isinstance(model, PipelineModel):
-            scored = scored.drop(*_made_columns(model))
-        scored = positive_probability(scored, f"_probability_{i}", f"score_{i}")
+        stages = model.stages if isinstance(model, PipelineModel) else [model]
+        groups.setdefault(tuple(s.uid for s in stages[:-1]), []).append((i, stages))
+    for members in groups.values():
+        before = members[0][1][:-1]
+        for stage in before:
+            scored = stage.transform(scored)
+        for i, stages in members:
+            last = stages[-1]
+            scored = last.transform(scored, {
+                last.predictionCol: f"prediction_{i}",
+                last.probabilityCol: f"_probability_{i}",
+                last.rawPredictionCol: f"_raw_{i}",
+            })
+            scored = positive_probability(scored, f"_probability_{i}", f"score_{i}")
+        if before:
+            scored = scored.drop(*_made_columns(before))
     made = [f"{name}_{i}" for i in range(len(models)) for name in ("prediction", "score")]
     return scored.select(*columns, *made)
 

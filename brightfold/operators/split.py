@@ -19,8 +19,8 @@ COPIES_PER_TASK_ROW = 10_000
 
 
 def kfold(df: DataFrame, key: Column, folds: int = config.FOLDS, out: str = "fold") -> DataFrame:
-    """Fold by key: a projection, no pass over the data. Rows of one key share a fold."""
-    return df.withColumn(out, (key % F.lit(folds)).cast("int"))
+    """Fold by key: a projection, no pass over the data. Rows of one key share a fold; NULL counts as 0."""
+    return df.withColumn(out, F.pmod(F.coalesce(key, F.lit(0)), F.lit(folds)).cast("int"))
 
 
 def random_split(
@@ -30,7 +30,8 @@ def random_split(
     modulus: int = HASH_MODULUS,
     out: str = "part",
 ) -> DataFrame:
-    """Weighted random split on a hash key; a seed goes into the key."""
+    """Weighted random split on a hash key; a seed goes into the key. NULL counts as 0."""
+    key = F.pmod(F.coalesce(key, F.lit(0)), F.lit(modulus))
     total, reached, part = float(sum(weights)), 0.0, F.lit(0)
     for weight in list(weights)[:-1]:
         reached += weight
@@ -136,7 +137,7 @@ def stratified_sample_hash(
         F.when(F.col(label) == c, F.lit(math.floor(share * modulus)))
         for c, share in sorted(fractions.items())
     ])
-    return df.where(key < threshold)
+    return df.where(F.pmod(F.coalesce(key, F.lit(0)), F.lit(modulus)) < threshold)
 
 
 def rank_parts(
@@ -150,14 +151,15 @@ def rank_parts(
 ) -> DataFrame:
     """Number the runs between cut ranks, per stratum, in (key, ties) order.
 
-    `cuts` gets the rows of each stratum and gives its cut ranks. `key` is an integer hash below 2**53. The cuts are found by order statistics
+    `cuts` gets the rows of each stratum and gives its cut ranks. `key` is an integer hash below 2**53; NULL comes
+    before all others. The cuts are found by order statistics
     on the hash; rows that share a cut's hash are ordered by `ties` and then by
     all other columns, so only identical rows stay undecided, and those are
     divided by count. Assigning a part is then a comparison with literals.
     """
     columns = df.columns
     order = [*ties, *[c for c in columns if c not in ties]]
-    hashed = df.select("*", key.cast("double").alias("_h"))
+    hashed = df.select("*", F.coalesce(key.cast("double"), F.lit(-1.0)).alias("_h"))
     wanted_cuts = {}
 
     def wanted(sizes):

@@ -99,7 +99,11 @@ def cross_validate(
     fold and gives the parameter maps of the candidates.
     """
     inside = df.where(F.col(fold).between(0, folds - 1))
-    sizes = dict(inside.groupBy(fold).count().collect())
+    found = df.where(F.col(label).isNotNull()).groupBy(
+        F.when(F.col(fold).between(0, folds - 1), F.col(fold)).alias(fold)).count().collect()
+    sizes = {r[fold]: r["count"] for r in found}
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} labelled rows have no fold from 0 to {folds - 1}")
     fits = []
     for held_out in range(folds):
         n_train = sum(n for f, n in sizes.items() if f != held_out)
@@ -134,6 +138,7 @@ class SearchResult:
     refit_s: float
     model: object
     cv_results: DataFrame
+    fold_scores: DataFrame
 
 
 def search(
@@ -187,7 +192,7 @@ def search(
     refit_s = time.perf_counter() - started
     return SearchResult(
         family, profile, chosen, best["mean_auc"], search_s, refit_s, model,
-        candidates.join(F.broadcast(means), "candidate"),
+        candidates.join(F.broadcast(means), "candidate"), fold_scores,
     )
 
 

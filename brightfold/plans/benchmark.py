@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 
 from brightfold import config
 from brightfold.operators import timing
-from brightfold.operators.estimators import make_estimator
+from brightfold.functions.expressions import row_hash
+from brightfold.operators.estimators import make_estimator, with_validation_flag
 from brightfold.operators.features import feature_stages
 from brightfold.session import checkpoint_root, spread
 from brightfold.sources.results import BENCHMARK_SCHEMA, write_csv
@@ -20,20 +21,35 @@ def benchmark(
     test: DataFrame,
     features: Sequence[str] = config.FEATURES,
     families: Sequence[str] = config.FAMILIES,
-    framework: str = "native",
+    profiles: Sequence[str] = config.PROFILES,
     out: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """One timing row per model, at the cores the session has.
+    """One timing row per profile and model, at the cores the session has.
+
+    Each profile has its own scaling; `native` times the fixed benchmark settings, `exact`
+    its estimators as they are.
 
     Inputs are materialized first, so the times hold no reading. Rows from
     sessions of other sizes can be appended and compared with `timing.speedup`.
     """
     spark = train.sparkSession
     checkpoint_root(spark)
-    transform = feature_stages(features).fit(train)
-    level = StorageLevel.MEMORY_AND_DISK
+    rows = []
+    for profile in profiles:
+        rows += _times(train, test, features, families, profile, partitions)
+    results = spark.createDataFrame(rows, BENCHMARK_SCHEMA)
+    if out is not None:
+        write_csv(results, f"{out}/benchmark_results")
+    return results
+
+
+def _times(train, test, features, families, profile, partitions) -> list[tuple]:
+    transform = feature_stages(features, profile).fit(train)
+    settings = "benchmark" if profile == "native" else profile
     sides = [
-        transform.transform(spread(df)).select("label", "features").persist(level)
+        with_validation_flag(transform.transform(spread(df, partitions)), row_hash(features, 1))
+        .select("label", "is_val", "features").persist(StorageLevel.MEMORY_AND_DISK)
         for df in (train, test)
     ]
     rows = []
@@ -41,16 +57,13 @@ def benchmark(
         for df in sides:
             df.count()
         for family in families:
-            model, train_s = timing.timed_fit(make_estimator(family, "benchmark"), sides[0])
+            model, train_s = timing.timed_fit(make_estimator(family, settings), sides[0])
             predict_s = timing.timed_predict(model, sides[1])
             rows.append((
-                framework, config.DISPLAY_NAMES[family], spark.sparkContext.defaultParallelism,
+                profile, config.DISPLAY_NAMES[family], train.sparkSession.sparkContext.defaultParallelism,
                 round(train_s, 3), round(predict_s, 3),
             ))
     finally:
         for df in sides:
             df.unpersist()
-    results = spark.createDataFrame(rows, BENCHMARK_SCHEMA)
-    if out is not None:
-        write_csv(results, f"{out}/benchmark_results")
-    return results
+    return rows

