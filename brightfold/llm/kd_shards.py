@@ -8,21 +8,21 @@ metadata column are used; strings are placed by their CRC-32, which keeps equal
 together.
 
 A cut is found without moving rows: all nodes of a level are histogrammed at once
-inside their brackets, the bracket narrows to the bin that holds the quantile, and
+inside their brackets (literal maps in the plan, no joins), the bracket narrows to the bin that holds the quantile, and
 only a bin of few rows (or of one value) is looked at row by row. The low bits of each
 value are a hash of the id, so a value that a third of the rows share is cut as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brightfold.llm.common import written
 
 #: Bytes that a stored record has besides its text.
 OVERHEAD = 16
-BINS = 512
-FEW_ROWS = 512
+BINS = 2048
+FEW_ROWS = 2048
 TIE_BITS = 31
 ROWS_OF_A_SLOT_GROUP = 50_000
 
@@ -36,10 +36,10 @@ def _code(column: Column, kind: T.DataType) -> Column:
     return F.coalesce(placed, F.lit(0)).cast("long")
 
 
-def _values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
-    """A small table of whole numbers, one row for each tree node at most."""
-    text = ", ".join("(" + ", ".join(f"{v}L" for v in row) + ")" for row in rows)
-    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {text} AS t({names})"))
+def _of(values: dict[int, int], kind: str = "long") -> Column:
+    """The node's entry in a literal map, one entry for each tree node at most; null without one."""
+    entries = [F.lit(x).cast(t) for n, v in values.items() for x, t in ((n, "long"), (v, kind))]
+    return F.try_element_at(F.create_map(*entries), F.col("node"))
 
 
 def _key(dims: list[str]) -> Column:
@@ -47,22 +47,37 @@ def _key(dims: list[str]) -> Column:
     return F.element_at(F.array(*dims), (F.col("dim") + 1).cast("int"))
 
 
-def _cuts(spark, placed: DataFrame, dims: list[str], goals: dict[int, tuple[int, int, int, float]]) -> dict[int, tuple[int, int]]:
+def _inside(placed: DataFrame, dims: list[str], states: dict[int, list]) -> DataFrame:
+    """Rows inside their node's bracket; states: node to [dim, lowest, highest, ...]."""
+    columns = {
+        "dim": _of({n: s[0] for n, s in states.items()}, "int"),
+        "lo": _of({n: s[1] for n, s in states.items()}), "hi": _of({n: s[2] for n, s in states.items()}),
+        "width": _of({n: (s[2] - s[1]) // BINS + 1 for n, s in states.items()}),
+    }
+    return placed.withColumns(columns).withColumn("key", _key(dims)).where("key BETWEEN lo AND hi")
+
+
+def _by_node(rows: list, order: str) -> dict[int, list]:
+    """A level's sums by node: at most BINS or FEW_ROWS of each."""
+    out: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: r[order]):
+        out.setdefault(r["node"], []).append(r)
+    return out
+
+
+def _cuts(placed: DataFrame, dims: list[str], goals: dict[int, tuple[int, int, int, float]]) -> dict[int, tuple[int, int]]:
     """Dimension and last value of the left side for each node; goals: node to (dim, lowest, highest, bytes wanted left)."""
     cuts: dict[int, tuple[int, int]] = {}
     open_ = {node: [dim, lo, hi, 0, want] for node, (dim, lo, hi, want) in goals.items()}
     while open_:
-        brackets = _values(spark, [(n, d, lo, hi, (hi - lo) // BINS + 1) for n, (d, lo, hi, _, _) in open_.items()],
-                           "node, dim, lo, hi, width")
-        inside = placed.join(brackets, "node").withColumn("key", _key(dims)).where("key BETWEEN lo AND hi")
         bins = (
-            inside.groupBy("node", F.expr("(key - lo) div width").alias("bin"))
-            .agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).orderBy("node", "bin").collect()
+            _inside(placed, dims, open_).groupBy("node", F.expr("(key - lo) div width").alias("bin"))
+            .agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
         )
-        few = {}
+        few, of_node = {}, _by_node(bins, "bin")
         for node, state in list(open_.items()):
             dim, lo, hi, before, want = state
-            width, own = (hi - lo) // BINS + 1, [b for b in bins if b["node"] == node]
+            width, own = (hi - lo) // BINS + 1, of_node[node]
             for b in own:
                 if before + b["bytes"] >= want or b is own[-1]:
                     break
@@ -75,14 +90,11 @@ def _cuts(spark, placed: DataFrame, dims: list[str], goals: dict[int, tuple[int,
             elif b["n"] <= FEW_ROWS:
                 few[node] = open_.pop(node)
         if few:
-            rows = (
-                placed.join(_values(spark, [(n, *s[:3]) for n, s in few.items()], "node, dim, lo, hi"), "node")
-                .withColumn("key", _key(dims)).where("key BETWEEN lo AND hi")
-                .groupBy("node", "key").agg(F.sum("size").alias("bytes")).orderBy("node", "key").collect()
-            )
+            rows = _inside(placed, dims, few).groupBy("node", "key").agg(F.sum("size").alias("bytes")).collect()
+            of_node = _by_node(rows, "key")
             for node, (dim, lo, _, before, want) in few.items():
                 cut = lo - 1
-                for r in (r for r in rows if r["node"] == node):
+                for r in of_node[node]:
                     if before + r["bytes"] - want > want - before:
                         break
                     before += r["bytes"]
@@ -103,7 +115,6 @@ def shard(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = ("sou
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    spark = docs.sparkSession
     crc = F.crc32(F.col(text_col).cast("binary"))
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
     tie = F.xxhash64(F.col(id_col), crc).bitwiseAND((1 << TIE_BITS) - 1)
@@ -130,17 +141,18 @@ def shard(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = ("sou
                 goals[r["node"]] = (widest, r[f"lo{dims[widest]}"], r[f"hi{dims[widest]}"], r["bytes"] * (s // 2) / s)
         if not goals:
             break
-        rules = _values(spark, [(n, d, c) for n, (d, c) in _cuts(spark, placed, dims, goals).items()], "node, dim, cut")
-        placed = placed.join(rules, "node", "left").withColumn(
+        cuts = _cuts(placed, dims, goals)
+        rules = {"dim": _of({n: d for n, (d, _) in cuts.items()}, "int"), "cut": _of({n: c for n, (_, c) in cuts.items()})}
+        placed = written(placed.withColumns(rules).withColumn(
             "node", F.when(F.col("cut").isNull(), F.col("node") * 2 + 1)
-            .otherwise(F.col("node") * 2 + 1 + (_key(dims) > F.col("cut")).cast("long"))).drop("dim", "cut")
+            .otherwise(F.col("node") * 2 + 1 + (_key(dims) > F.col("cut")).cast("long"))).drop("dim", "cut"), "op4-level")
         # a node of one shard goes on as its own left child
         tree = {2 * n + 1 + right: part for n, (first, s) in tree.items()
                 for right, part in ((0, (first, s // 2 if s > 1 else 1)), (1, (first + s // 2, s - s // 2))) if s > 1 or not right}
-    leaves = _values(spark, [(n, first) for n, (first, _) in tree.items()], "node, shard")
+    leaf = _of({n: first for n, (first, _) in tree.items()}, "int")
     groups = max(1, slim.count() // (shards * ROWS_OF_A_SLOT_GROUP) + 1)
-    out = placed.join(leaves, "node").select(
-        "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
+    out = placed.select(
+        "doc_id", "size", "text_crc32", leaf.alias("shard"),
         F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(groups)).alias("part"))
     counts = out.groupBy("shard", "part").count()
     ahead = counts.withColumn("ahead", F.sum("count").over(Window.partitionBy("shard").orderBy("part")) - F.col("count"))
