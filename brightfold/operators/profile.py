@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from brightfold import config
@@ -21,6 +23,8 @@ from brightfold.operators.ranks import (
 )
 
 QUARTILES = (0.25, 0.5, 0.75)
+#: Share of a sum of squares that rounding may leave of a variance of 0.
+ROUNDING = 1e-12
 
 
 def _long_values(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -178,32 +182,31 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] = config.FEATURES)
 def correlation_pairwise(df: DataFrame, features: Sequence[str] = config.FEATURES) -> DataFrame:
     """Pearson correlations over the rows where both values are present.
 
-    Each row is expanded to its column pairs and aggregated by pair in the same
-    stage: one scan, and a shuffle of one partial row per pair and task.
+    Two scans: the column means, then one distributed product of the centred values,
+    their squares and the marks of present cells, missing ones being 0. It holds count,
+    sums, squares and cross sums of every pair of columns; only that matrix, three times
+    the features wide, reaches the driver. A column constant over a pair's rows (within
+    rounding) correlates as NULL.
     """
-    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in features])
-    pairs = F.array(*[
-        F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-            F.when(F.col(b).isNotNull(), F.col(a)).alias("x"),
-            F.when(F.col(a).isNotNull(), F.col(b)).alias("y"),
-        )
-        for a, b in combinations_with_replacement(features, 2)
-    ])
-    moments = (
-        clean.select(F.inline(pairs))
-        .groupBy("feature_a", "feature_b")
-        .agg(
-            F.covar_pop("x", "y").alias("cov"),
-            F.stddev_pop("x").alias("sx"),
-            F.stddev_pop("y").alias("sy"),
-        )
-    )
-    spread = F.col("sx") * F.col("sy")
-    same = F.col("feature_a") == F.col("feature_b")
-    r = F.when(spread > 0, F.when(same, F.lit(1.0)).otherwise(F.col("cov") / spread))
-    sides = F.when(same, F.array(F.struct("feature_a", "feature_b"))).otherwise(F.array(
-        F.struct("feature_a", "feature_b"),
-        F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b")),
-    ))
-    return moments.select(r.alias("r"), F.inline(sides)).select("feature_a", "feature_b", "r")
+    p = len(features)
+    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(features)])
+    means = clean.agg(*map(F.avg, clean.columns)).head()
+    centred = [F.coalesce(F.col(c) - F.lit(m), F.lit(0.0)) for c, m in zip(clean.columns, means)]
+    present = [F.col(c).isNotNull().cast("double") for c in clean.columns]
+    vectors = clean.select(array_to_vector(F.array(*centred, *[x * x for x in centred], *present)).alias("_vector"))
+    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_vector"), 0, 3 * p)
+    gram = rows.computeGramianMatrix().toArray()
+    cross, sums, squares, n = gram[:p, :p], gram[:p, 2 * p:], gram[p:2 * p, 2 * p:], gram[2 * p:, 2 * p:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = sums / n
+        variance = squares / n - mean * mean
+        r = (cross / n - mean * mean.T) / np.sqrt(variance * variance.T)
+        constant = ~(variance > ROUNDING * squares / n) & ~np.isnan(variance) | (n == 0)
+    r[np.diag_indices(p)] = np.where(np.isnan(np.diag(variance)), np.nan, 1.0)
+    undefined = constant | constant.T
+    found = [
+        (a, b, None if undefined[i, j] else float(r[i, j]))
+        for i, a in enumerate(features)
+        for j, b in enumerate(features)
+    ]
+    return df.sparkSession.createDataFrame(found, "feature_a string, feature_b string, r double")

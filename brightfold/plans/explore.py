@@ -29,13 +29,11 @@ def explore(
     group = F.coalesce(*[
         F.when(F.col("feature").isin(*columns), F.lit(name)) for name, columns in groups.items()
     ])
-    has_missing = statistics.where(F.col("missing_pct") > 0).limit(1).count() > 0
-    correlate = profile.correlation_pairwise if has_missing else profile.correlation_matrix
     tables = {
         "summary_statistics": statistics,
         "class_balance": profile.class_balance(df, label),
         "distributions": profile.class_histogram(df, features, label).withColumn("feature_group", group),
-        "correlation": correlate(df, features),
+        "correlation": profile.correlation_pairwise(df, features),
     }
     if out is not None:
         for name, frame in tables.items():

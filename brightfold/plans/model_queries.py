@@ -20,13 +20,14 @@ from brightfold.operators.estimators import (
     spark_params,
     with_validation_flag,
 )
-from brightfold.operators.features import feature_stages
+from brightfold.operators.features import assemble, feature_stages
 from brightfold.operators.scoring import append_scores, positive_probability, predict, score_models
 from brightfold.plans.evaluate import evaluate_models, evaluate_saved
 from brightfold.plans.inputs import FEATURES, INPUT_PARTITIONS, KEYS, base, line_hash, persisted
-from brightfold.plans.train import train_all, training_summary
+from brightfold.plans.train import train_all
 from brightfold.session import checkpoint_root, spread, workspace
 from brightfold.sources import models as model_files
+from brightfold.sources.results import SUMMARY_SCHEMA
 from brightfold.sources.tables import choose_split
 
 # Tight enough that a fit and its recomputed optimum agree to four places.
@@ -96,13 +97,20 @@ def predict_proba(spark, sf_dir):
 
 def _ensemble_checks(spark, sf_dir, entries):
     """Fit each (family, profile, settings); count rows and check what every ensemble must meet."""
-    models, sizes = {}, {}
-    for family, profile, settings in entries:
-        scaling = "exact" if profile == "exact" else "native"
+    models, sizes, trees, rounds = {}, {}, {}, {}
+    for scaling in dict.fromkeys("exact" if profile == "exact" else "native" for _, profile, _ in entries):
         with _training_data(spark, sf_dir, scaling) as (data, transform):
-            model = make_estimator(family, profile, **settings).fit(data)
-            sizes[family, profile] = data.count()
-        models[family, profile] = PipelineModel([transform, model])
+            n_train = data.count()
+            for family, profile, settings in entries:
+                if (profile == "exact") != (scaling == "exact"):
+                    continue
+                estimator = make_estimator(family, profile, **settings)
+                model = estimator.fit(data)
+                models[family, profile] = PipelineModel([transform, model])
+                sizes[family, profile] = n_train
+                trees[family, profile] = None if family == "lr" else len(model.treeWeights)
+                if family == "gbt" and estimator.isDefined("validationIndicatorCol"):
+                    rounds[family, profile] = estimator.getMaxIter()
     scores = score_models(_test(spark, sf_dir), models, ["family", "profile"])
     with persisted(scores) as scores:
         quality = metrics.classification_metrics(scores, ["family", "profile"]).collect()
@@ -111,19 +119,19 @@ def _ensemble_checks(spark, sf_dir, entries):
             F.bool_and((F.col("score") > 0.5) == (F.col("prediction") == 1.0)).alias("consistent"),
         ).collect()
     checks = {(r["family"], r["profile"]): r for r in bounds}
-    rows = [
-        (
-            r["family"], r["profile"], sizes[r["family"], r["profile"]], r["n_rows"],
-            checks[r["family"], r["profile"]]["valid"],
-            checks[r["family"], r["profile"]]["consistent"],
-            r["roc_auc"] > 0.75,
-        )
-        for r in quality
-    ]
+    rows = []
+    for r in quality:
+        at = r["family"], r["profile"]
+        stops = at in rounds
+        rows.append((
+            *at, sizes[at], r["n_rows"], None if stops else trees[at],
+            trees[at] < rounds[at] if stops else None,
+            checks[at]["valid"], checks[at]["consistent"], r["roc_auc"] > 0.75,
+        ))
     return spark.createDataFrame(
         rows,
         "family string, profile string, n_train bigint, n_scored bigint,"
-        " probabilities_valid boolean, predictions_consistent boolean, separates_classes boolean",
+        " n_trees bigint, stopped_early boolean, probabilities_valid boolean, predictions_consistent boolean, separates_classes boolean",
     )
 
 
@@ -136,13 +144,13 @@ def fit_gbt(spark, sf_dir):
 
 
 def fit_rf_exact(spark, sf_dir):
-    """Half-row forest at a tuned size; untuned it would grow to Spark's depth limit."""
-    return _ensemble_checks(spark, sf_dir, [("rf", "exact", {"numTrees": 50, "maxDepth": 8})])
+    """Half-row forest of all its trees, at the grid's largest depth; untuned it would grow to Spark's limit."""
+    return _ensemble_checks(spark, sf_dir, [("rf", "exact", {"maxDepth": max(config.PARAM_GRIDS["rf"]["max_depth"])})])
 
 
 def fit_gbt_exact(spark, sf_dir):
-    """Early-stopped boosting."""
-    return _ensemble_checks(spark, sf_dir, [("gbt", "exact", {"maxIter": 40})])
+    """Boosting of up to 100 rounds, stopped early."""
+    return _ensemble_checks(spark, sf_dir, [("gbt", "exact", {})])
 
 
 def fit_benchmark_profile(spark, sf_dir):
@@ -151,6 +159,24 @@ def fit_benchmark_profile(spark, sf_dir):
     )
 
 
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def fit_tree(spark, sf_dir):
+    """One tree of two levels on all rows and features: test rows and positives for each leaf probability.
+
+    Its features have few values, so every split is tried and the tree is the only answer.
+    """
+    rows = assemble(base(spark, sf_dir), TREE_FEATURES, "features")
+    tree = make_estimator(
+        "rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False, maxBins=64, maxDepth=2
+    ).fit(choose_split(rows, "train"))
+    scored = positive_probability(predict(choose_split(rows, "test"), tree))
+    return scored.groupBy(F.round("score", 6).alias("probability")).agg(
+        F.count("*").alias("n_rows"), F.sum("label").alias("n_positive")
+    )
+
+
 def _cv_rows(result, digits=4):
     """Candidate results with scores rounded for comparison."""
     rows = result.cv_results
@@ -177,6 +203,11 @@ def cv_results(spark, sf_dir):
     return _cv_rows(_grid_search_lr(spark, sf_dir, "native"))
 
 
+def cv_fold_results(spark, sf_dir):
+    """Every fold's score of every grid candidate."""
+    return _grid_search_lr(spark, sf_dir, "native").fold_scores.withColumn("auc", F.round("auc", 4))
+
+
 def grid_search_lr(spark, sf_dir):
     """Grid search over C and the coefficients of the refitted best model."""
     result = _grid_search_lr(spark, sf_dir, "native")
@@ -192,9 +223,9 @@ def grid_search_stratified(spark, sf_dir):
     return _cv_rows(_grid_search_lr(spark, sf_dir, "exact"))
 
 
-# Small grids and spaces: tree searches fit every candidate once per fold.
+# Candidates, folds and trials as in `config`, over smaller trees: every candidate is fitted once per fold.
 RF_GRID = {"rf": {"n_estimators": [5, 10], "max_depth": [3, 6]}}
-GBT_GRID = {"gbt": {"max_iter": [3], "max_depth": [2, 4], "learning_rate": [0.1]}}
+GBT_GRID = {"gbt": {"max_iter": [2, 4], "max_depth": [2, 3], "learning_rate": [0.05, 0.1]}}
 RF_SPACE = {"rf": {"n_estimators": ("int", 3, 8), "max_depth": ("int", 3, 6)}}
 GBT_SPACE = {
     "gbt": {
@@ -208,7 +239,7 @@ def _tree_search(spark, sf_dir, family, **options):
     """What a tree search must meet: all candidates scored on all folds, the best one chosen."""
     train = choose_split(base(spark, sf_dir), "train").select(*KEYS, *FEATURES, "label")
     result = train_all(
-        train, FEATURES, families=[family], key=line_hash, ties=KEYS, folds=3, **options
+        train, FEATURES, families=[family], key=line_hash, ties=KEYS, **options
     )[family]
     table = result.cv_results
     best = F.max("mean_auc")
@@ -229,45 +260,40 @@ def grid_search_gbt(spark, sf_dir):
 
 
 def search_rf(spark, sf_dir):
-    return _tree_search(spark, sf_dir, "rf", method="search", spaces=RF_SPACE, trials=3)
+    return _tree_search(spark, sf_dir, "rf", method="search", spaces=RF_SPACE)
 
 
 def search_gbt(spark, sf_dir):
-    return _tree_search(spark, sf_dir, "gbt", method="search", spaces=GBT_SPACE, trials=2)
+    return _tree_search(spark, sf_dir, "gbt", method="search", spaces=GBT_SPACE)
 
 
 def _search_lr(spark, sf_dir, profile, **options):
     train = choose_split(base(spark, sf_dir), "train").select(*KEYS, *FEATURES, "label")
     result = train_all(
         train, FEATURES, profile, method="search", families=["lr"], key=line_hash, ties=KEYS,
-        settings={"lr": {"tol": TOLERANCE}}, trials=4, **options
+        settings={"lr": {"tol": TOLERANCE}}, **options
     )["lr"]
     return _cv_rows(result).withColumn("C", F.round("C", 8))
 
 
 def search_lr(spark, sf_dir):
-    """Four trials over the range of C, five folds by key, all rows."""
+    """Ten trials over the range of C, five folds by key, all rows."""
     return _search_lr(spark, sf_dir, "native")
 
 
 def search_subsampled(spark, sf_dir):
-    """Four trials on a stratified sample of half the rows, three stratified folds."""
+    """Ten trials on a stratified sample of half the rows, three stratified folds."""
     n_train = choose_split(base(spark, sf_dir), "train").count()
     return _search_lr(spark, sf_dir, "exact", search_rows=n_train // 2, refit_rows=n_train * 3 // 4)
 
 
-TINY = {
-    "lr": {"C": [0.1, 1.0], "max_iter": [100]},
-    "rf": {"n_estimators": [5], "max_depth": [4]},
-    "gbt": {"max_iter": [3], "max_depth": [3], "learning_rate": [0.1]},
-}
-
-
 def training_summary_table(spark, sf_dir):
-    """All three families trained; parameters, scores and times of the summary checked."""
+    """All three families trained and saved; the summary's JSON read back and checked."""
+    out = workspace(spark, "training_summary")
     train = choose_split(base(spark, sf_dir), "train").select(*KEYS, *FEATURES, "label")
-    results = train_all(train, FEATURES, grids=TINY, folds=2, key=line_hash, ties=KEYS)
-    return training_summary(spark, results).select(
+    train_all(train, FEATURES, grids={**config.PARAM_GRIDS, **RF_GRID, **GBT_GRID}, out=out, key=line_hash, ties=KEYS)
+    summary = spark.read.schema(SUMMARY_SCHEMA).json(f"{out}/native/training_summary")
+    return summary.select(
         "framework",
         "model",
         F.size("best_params").cast("int").alias("n_params"),
@@ -368,7 +394,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         fit_lr, fit_lr_exact, fit_rf, fit_gbt, fit_rf_exact, fit_gbt_exact, fit_benchmark_profile,
-        predict_batch, predict_proba, cv_results, grid_search_lr, grid_search_rf, grid_search_gbt,
+        fit_tree,
+        predict_batch, predict_proba, cv_results, cv_fold_results, grid_search_lr, grid_search_rf, grid_search_gbt,
         grid_search_stratified, search_lr, search_rf, search_gbt, search_subsampled,
         model_roundtrip, leaderboard, leaderboard_lr, timing_row,
     )

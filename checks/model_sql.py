@@ -138,7 +138,7 @@ def cross_validation(profile, candidates, folds, folded):
 GRID_C = ["1e-2", "1e-1", "1e0", "1e1"]
 SEARCH_C = [
     f"(SELECT exp(ln(1e-3) + ({i}e0 * 6.180339887498949e-1 - floor({i}e0 * 6.180339887498949e-1)) * ln(1e2/1e-3)))"
-    for i in range(1, 5)
+    for i in range(1, 11)
 ]
 TRAIN_STRATA = f"""strata AS (
 SELECT *, row_number() OVER (PARTITION BY label ORDER BY {line_hash(42)}, {ROW_ORDER}) - 1 AS rank0
@@ -185,15 +185,51 @@ def grid_search_sql():
 
 
 def ensemble_sql(*entries):
+    """Entries are (family, profile, trees); trees is None for a model without any, 0 for early stopping."""
     return with_base(union([
         f"""SELECT '{family}' AS family, '{profile}' AS profile, count(*) FILTER (fold <> 0) AS n_train,
- count(*) FILTER (fold = 0) AS n_scored, true AS probabilities_valid, true AS predictions_consistent,
+ count(*) FILTER (fold = 0) AS n_scored, CAST({trees or 'NULL'} AS BIGINT) AS n_trees,
+ CAST({'true' if trees == 0 else 'NULL'} AS BOOLEAN) AS stopped_early, true AS probabilities_valid, true AS predictions_consistent,
  true AS separates_classes FROM base"""
-        for family, profile in entries
+        for family, profile, trees in entries
     ]))
 
 
-def tree_search_sql(family, candidates, folds=3):
+def best_split(rows, name):
+    """CTEs ending in `{name}(node, feature, value)`: the cut x <= value of least Gini impurity for each node."""
+    return [
+        f"{name}_cells AS (SELECT node, feature, value, count(*) * 1e0 AS n, sum(label) * 1e0 AS n1 FROM ("
+        "SELECT node, label, unnest([1, 2, 3]) AS feature, unnest([l_quantity, l_discount, l_tax]) AS value"
+        f" FROM {rows} WHERE fold <> 0) GROUP BY ALL)",
+        f"{name}_cuts AS (SELECT node, feature, value, sum(n) OVER upto AS l, sum(n1) OVER upto AS l1,"
+        f" sum(n) OVER whole AS n, sum(n1) OVER whole AS n1 FROM {name}_cells WINDOW"
+        " upto AS (PARTITION BY node, feature ORDER BY value), whole AS (PARTITION BY node, feature))",
+        f"{name} AS (SELECT node, arg_max(feature, purity) AS feature, arg_max(value, purity) AS value FROM ("
+        "SELECT *, (l1*l1 + (l - l1)*(l - l1))/l + ((n1 - l1)*(n1 - l1) + (n - l - n1 + l1)*(n - l - n1 + l1))/(n - l)"
+        f" AS purity FROM {name}_cuts WHERE l < n) GROUP BY node)",
+    ]
+
+
+def tree_sql():
+    """Two levels of splits; leaves of one parent that predict the same class are merged."""
+    x = "(CASE feature WHEN 1 THEN l_quantity WHEN 2 THEN l_discount ELSE l_tax END)"
+    same = "bool_and(2 * n1 > n) OR bool_and(2 * n1 <= n)"
+    return with_base(
+        "SELECT round(probability, 6) AS probability, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive"
+        " FROM (SELECT label, CASE WHEN t.same THEN t.n1/t.n WHEN s.same THEN s.n1/s.n ELSE f.n1/f.n END AS probability"
+        " FROM leafed JOIN leaves f USING (side, sub) JOIN sides s USING (side) CROSS JOIN top t WHERE fold = 0) GROUP BY 1",
+        "rooted AS (SELECT *, 0 AS node FROM base)",
+        *best_split("rooted", "first_cut"),
+        f"halved AS (SELECT base.*, CAST({x} <= value AS INT) AS node FROM base CROSS JOIN first_cut)",
+        *best_split("halved", "second_cut"),
+        f"leafed AS (SELECT label, fold, node AS side, CAST({x} <= value AS INT) AS sub FROM halved JOIN second_cut USING (node))",
+        "leaves AS (SELECT side, sub, count(*) * 1e0 AS n, sum(label) * 1e0 AS n1 FROM leafed WHERE fold <> 0 GROUP BY 1, 2)",
+        f"sides AS (SELECT side, {same} AS same, sum(n) AS n, sum(n1) AS n1 FROM leaves GROUP BY 1)",
+        f"top AS (SELECT {same} AS same, sum(n) AS n, sum(n1) AS n1 FROM leaves)",
+    )
+
+
+def tree_search_sql(family, candidates, folds=5):
     return with_base(
         f"SELECT '{family}' AS family, count(*) AS n_train, CAST({candidates} AS BIGINT) AS n_candidates,"
         f" CAST({candidates * folds} AS BIGINT) AS n_scores, true AS scores_plausible, true AS best_is_highest"
@@ -247,20 +283,25 @@ MODEL_SQL = {
         "SELECT label, count(*) AS n_rows, round(avg(score), 4) AS mean_score,"
         " round(stddev_samp(score), 4) AS std_score FROM test_scores GROUP BY 1",
         *single_fit("native"), TEST_SCORES),
-    "fit_rf": ensemble_sql(("rf", "native")),
-    "fit_gbt": ensemble_sql(("gbt", "native")),
-    "fit_rf_exact": ensemble_sql(("rf", "exact")),
-    "fit_gbt_exact": ensemble_sql(("gbt", "exact")),
-    "fit_benchmark_profile": ensemble_sql(("lr", "benchmark"), ("rf", "benchmark"), ("gbt", "benchmark")),
+    "fit_rf": ensemble_sql(("rf", "native", 20)),
+    "fit_gbt": ensemble_sql(("gbt", "native", 20)),
+    "fit_rf_exact": ensemble_sql(("rf", "exact", 100)),
+    "fit_gbt_exact": ensemble_sql(("gbt", "exact", 0)),
+    "fit_benchmark_profile": ensemble_sql(
+        ("lr", "benchmark", None), ("rf", "benchmark", 100), ("gbt", "benchmark", 100)),
     "cv_results": cv_sql("native", GRID_C, 5, folded=key_folds(5), with_max_iter=True),
+    "cv_fold_results": with_base(
+        "SELECT CAST(model // 100 AS INT) AS candidate, CAST(model % 100 AS INT) AS fold, round(auc, 4) AS auc FROM aucs",
+        scaled_cte("native"), *cross_validation("native", GRID_C, 5, key_folds(5))),
+    "fit_tree": tree_sql(),
     "grid_search_lr": grid_search_sql(),
     "grid_search_stratified": cv_sql(
         "exact", GRID_C, 5, folded=stratified_folds("z", 5, "WHERE fold <> 0"), with_max_iter=True),
     "grid_search_rf": tree_search_sql("rf", 4),
-    "grid_search_gbt": tree_search_sql("gbt", 2),
+    "grid_search_gbt": tree_search_sql("gbt", 8),
     "search_lr": cv_sql("native", SEARCH_C, 5, folded=key_folds(5), with_max_iter=False),
-    "search_rf": tree_search_sql("rf", 3),
-    "search_gbt": tree_search_sql("gbt", 2),
+    "search_rf": tree_search_sql("rf", 10),
+    "search_gbt": tree_search_sql("gbt", 10),
     "search_subsampled": cv_sql(
         "exact", SEARCH_C, 3, TRAIN_STRATA, *quota_ctes("strata", "(SELECT count(*) // 2 FROM strata)"),
         "sampled AS (SELECT strata.* FROM strata JOIN quotas USING (label) WHERE rank0 < quota)",
