@@ -37,6 +37,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """Write bucketed by a column that df is partitioned by: later joins on it leave these rows where they are."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, column).option("compression", "zstd").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def buckets_for(texts: DataFrame, column: str, bytes_each: int = 32 << 20) -> int:
     """Groups for a packed shuffle: their number follows the bytes of all texts."""
     total = texts.agg(F.sum(F.octet_length(column))).first()[0] or 0

@@ -24,6 +24,12 @@ most two candidates a document and round, verified. Every pair that these ties l
 different components is then joined on its shingles, counted, held against l and verified. Each
 such pair has a member outside the shingle's largest component, so one side of the join
 is without that component and a group of near copies isn't paired with itself.
+
+Sketches. A set's sketch holds the parities of its shingles in 256 hashed cells. Two
+sketches differ in at most as many cells as the sets do in shingles, and sets that link
+differ in a ninth of both sizes at most. So pairs whose sketches differ in more leave the
+joins before they are counted, and never reach their texts; no link is lost. Between
+sets too large for their cells the bound says nothing and the other conditions decide.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from brightfold.llm.common import LAST_ID, Chunk, buckets_for, chunks, combine, grams, written
+from brightfold.llm.common import LAST_ID, Chunk, bucketed, buckets_for, chunks, combine, grams, written
 from brightfold.llm.graph import components
 from brightfold.llm.packed import PACKED, found, frames, pack
 
@@ -46,7 +52,11 @@ COUNTERS = 1 << 18
 MOST_MATCHES = 8
 VERIFY_PRICE = 0.25
 
-SEEN = "row long, n int, high long, low long, counter int, df long"
+#: Cells of a sketch, in 64-bit parts.
+CELLS = 256
+PARTS = [f"s{i}" for i in range(CELLS // 64)]
+
+SEEN = "row long, n int, high long, low long, counter int, df long, " + ", ".join(f"{p} long" for p in PARTS)
 
 
 def shingle_sets(chunk: Chunk) -> list[np.ndarray]:
@@ -71,6 +81,12 @@ def overlap_of_smaller(n: int) -> int:
     return (8 * n + 8) // 9
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles in each cell, as 64-bit parts."""
+    cells = np.bincount((shingles >> np.uint64(24)).astype(np.int64) % CELLS, minlength=CELLS) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
+
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(COUNTERS, np.int64)
     for chunk in chunks(batches, lower=True):
@@ -79,16 +95,17 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.bincount(np.concatenate(sets) % np.uint64(COUNTERS), minlength=COUNTERS)
         digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
         signed = lambda v: np.array(v, np.uint64).view(np.int64)
+        parts = np.array([sketch(s) for s in sets]).T
         yield pa.RecordBatch.from_pandas(pd.DataFrame({
             "row": np.array([r["row"] for r in chunk.rows], np.int64), "n": np.array(list(map(len, sets)), np.int32),
             "high": signed([d >> 64 for d in digests]), "low": signed([d & (2**64 - 1) for d in digests]),
-            "counter": np.full(len(sets), -1, np.int32), "df": np.zeros(len(sets), np.int64),
+            "counter": np.full(len(sets), -1, np.int32), "df": np.zeros(len(sets), np.int64), **dict(zip(PARTS, parts)),
         }), preserve_index=False)
     at = np.flatnonzero(counts)
     zero = np.zeros(len(at), np.int64)
     yield pa.RecordBatch.from_pandas(pd.DataFrame({
         "row": zero, "n": zero.astype(np.int32), "high": zero, "low": zero,
-        "counter": at.astype(np.int32), "df": counts[at],
+        "counter": at.astype(np.int32), "df": counts[at], **{p: zero for p in PARTS},
     }), preserve_index=False)
 
 
@@ -148,8 +165,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """Pairs (a, b) whose texts link."""
+def _alike(x: str, y: str):
+    """What the sketches (row, n, parts) of two linked sets satisfy."""
+    differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARTS), F.lit(0))
+    return differ * 9 <= F.col(f"{x}.n") + F.col(f"{y}.n")
+
+
+def _linked(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Pairs (a, b) whose texts link; texts move only for pairs whose sketches allow it."""
+    ka = sketches.select(F.col("row").alias("a"), F.col("sketch").alias("ka"))
+    kb = sketches.select(F.col("row").alias("b"), F.col("sketch").alias("kb"))
+    pairs = written(pairs.join(ka, "a").join(kb, "b").where(_alike("ka", "kb")).select("a", "b").distinct(), f"{name}-asked")
     a = texts.select(F.col("row").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("row").alias("b"), F.col("text").alias("tb"))
     return written(pairs.join(a, "a").join(b, "b").mapInArrow(_verify, "a long, b long").distinct(), name)
@@ -175,9 +201,9 @@ def _fits(x: str, y: str):
 
 def _apart(postings: DataFrame, of: DataFrame) -> DataFrame:
     """Postings of shingles that documents of several components hold; components only merge, so the rest is settled."""
-    placed = postings.select("key", "row", "spot").join(of, "row", "left").withColumn("component", F.coalesce("component", "row"))
+    placed = postings.join(of, "row", "left").withColumn("component", F.coalesce("component", "row"))
     keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return written(placed.join(keys.select("key"), "key", "left_semi"), "op3-live")
+    return placed.join(keys.select("key"), "key", "left_semi")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,7 +223,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for r in seen.where("counter >= 0").groupBy("counter").agg(F.sum("df").alias("df")).toLocalIterator():
         df[r["counter"]] = r["df"]
     df = np.maximum(df - int(np.median(df)), 1)
-    sets = seen.where("counter < 0").select("row", "n", "high", "low")
+    seen_sets = seen.where("counter < 0")
+    sets = seen_sets.select("row", "n", "high", "low")
     full = sets.where("n > 0")
     classes = full.groupBy("high", "low", "n").agg(F.min("row").alias("class_id"))
     ids = written(full.join(classes, ["high", "low", "n"]).select("row", "n", "class_id"), "op3-classes")
@@ -206,7 +233,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = spark.sparkContext.broadcast(df.astype(np.int32) if df.max() < 2**31 else df)
     packed = base.mapInArrow(_postings(buckets_for(docs, text_col), sent), PACKED)
     postings = written(found(packed, "shared", keyed=True).join(heads, "row", "left_semi"), "op3-postings")
-    texts = written(base.join(postings.select("row").distinct(), "row", "left_semi"), "op3-texts")
+    shared = postings.select("row").distinct().hint("merge")
+    texts = bucketed(base.join(shared, "row", "left_semi"), "op3-texts", "row")
+    sketches = written(
+        seen_sets.select("row", F.struct("n", *PARTS).alias("sketch")).join(shared, "row", "left_semi").distinct(), "op3-sketches")
 
     holders = postings.groupBy("key").agg(
         F.min(F.struct("row", "spot")).alias("lo"), F.max(F.struct("row", "spot")).alias("hi")
@@ -219,15 +249,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).distinct()
     )
     ties = written(ties, "op3-first")
-    tied = _linked(ties, texts, "op3-ties")
+    tied = _linked(ties, sketches, texts, "op3-ties")
     of = components(tied, "op3-stars")
-    tried, live = ties, _apart(postings, of)
+    tried, live = ties, written(_apart(postings, of).join(sketches, "row"), "op3-live")
     while True:
         links = tied.select(F.col("a").alias("row")).union(tied.select("b")).groupBy("row").count()
         placed = live.join(links, "row", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-        hubs = placed.groupBy("key").agg(F.max(F.struct("count", "row", "component", "spot")).alias("hub")).where("hub.count > 0")
+        hubs = placed.groupBy("key").agg(F.max(F.struct("count", "row", "component", "spot", "sketch")).alias("hub")).where("hub.count > 0")
         nearest = (
-            placed.join(hubs, "key").where("component <> hub.component").where(_fits("spot", "hub.spot"))
+            placed.join(hubs, "key").where("component <> hub.component").where(_fits("spot", "hub.spot") & _alike("sketch", "hub.sketch"))
             .groupBy("row", F.col("hub.row").alias("to")).agg(F.count("*").alias("shared"))
             .select("row", "to", "shared", F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b"))
             .join(tried, ["a", "b"], "left_anti")
@@ -235,11 +265,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).distinct()
         )
         nearest = written(nearest, "op3-hubs")
-        fresh = _linked(nearest, texts, "op3-ties")
+        fresh = _linked(nearest, sketches, texts, "op3-ties")
         gained, asked = fresh.count(), nearest.count()
         if gained:
             of = components(of.select(F.col("row").alias("a"), F.col("component").alias("b")).union(fresh), "op3-stars")
-            live = _apart(live, of)
+            live = written(_apart(live.drop("component"), of), "op3-live")
         if gained * 20 < asked or not asked:
             break
         tied, tried = written(tied.union(fresh), "op3-ties"), written(tried.union(nearest), "op3-tried")
@@ -248,8 +278,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.max_by("component", F.struct("count", "component")).alias("main"))
     split = written(live.join(main, "key"), "op3-apart")
     minor = split.where("component <> main").select(
-        "key", F.col("row").alias("b"), F.col("spot").alias("sb"), F.col("component").alias("cb"))
-    major = split.select("key", F.col("row").alias("a"), F.col("spot").alias("sa"), F.col("component").alias("ca"),
+        "key", F.col("row").alias("b"), F.col("spot").alias("sb"), F.col("component").alias("cb"), F.col("sketch").alias("kb"))
+    major = split.select("key", F.col("row").alias("a"), F.col("spot").alias("sa"), F.col("component").alias("ca"), F.col("sketch").alias("ka"),
                          (F.col("component") != F.col("main")).alias("small"))
     a_smaller = (_size("sa") < _size("sb")) | ((_size("sa") == _size("sb")) & (F.col("a") < F.col("b")))
     counts = F.when(a_smaller, F.col("sa")).otherwise(F.col("sb")).bitwiseAND(1) == 1
@@ -259,12 +289,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     needed = F.greatest(F.least(la, lb), _ceil(4, 9, na, nb) - F.greatest(_ceil(8, 9, nb) - lb, _ceil(4, 5, na) - la))
     rest = (
         major.join(minor, (major["key"] == minor["key"]) & (F.col("ca") != F.col("cb"))
-                   & (~F.col("small") | (F.col("a") < F.col("b"))) & _fits("sa", "sb") & counts)
+                   & (~F.col("small") | (F.col("a") < F.col("b"))) & _fits("sa", "sb") & counts & _alike("ka", "kb"))
         .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .agg(F.count("*").alias("shared"), F.max(needed).alias("needed"))
         .where("shared >= needed").select("a", "b")
     )
-    more = _linked(rest, texts, "op3-rest")
+    more = _linked(rest, sketches, texts, "op3-rest")
     several = ids.groupBy("row").agg(F.min("class_id").alias("b"), F.max("class_id").alias("top")).where("b <> top")
     alike = ids.join(several, "row").select(F.col("class_id").alias("a"), "b")
     final = components(
