@@ -139,6 +139,21 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]):
     return best // base, best % base, end
 
 
+def seeds_of(block: Block, df: np.ndarray) -> np.ndarray:
+    """The rarer half of each item's n-grams, as sorted item * distinct n-grams + n-gram."""
+    size = len(block.distinct)
+    own = np.unique(block.item.astype(np.int64) * size + np.searchsorted(block.distinct, block.gram))
+    own = own[np.lexsort((own, df[own % size], own // size))]
+    _, first, count = np.unique(own // size, return_index=True, return_counts=True)
+    rank = np.arange(len(own)) - np.repeat(first, count)
+    return np.sort(own[rank < np.repeat((count + 1) // 2, count)])
+
+
+def _has(rare: np.ndarray, hits: np.ndarray) -> bool:
+    """Whether one of the hits is in the sorted seeds."""
+    return bool((rare[np.minimum(np.searchsorted(rare, hits), len(rare) - 1)] == hits).any())
+
+
 def _aligned(block, seeds, least: float):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("item", pa.int32()), ("score", pa.int32()),
                         ("share", pa.float64()), ("first_word", pa.int32()), ("end_word", pa.int32())])
@@ -148,8 +163,7 @@ def _aligned(block, seeds, least: float):
         rare = seeds.value
         for batch in batches:
             rows = [r for r in batch.to_pylist()
-                    if (r["item"] * len(b.distinct) + np.frombuffer(r["hit"], np.int32).astype(np.int64)).tolist() and
-                    np.isin(r["item"] * len(b.distinct) + np.frombuffer(r["hit"], np.int32).astype(np.int64), rare).any()]
+                    if _has(rare, r["item"] * len(b.distinct) + np.frombuffer(r["hit"], np.int32).astype(np.int64))]
             rows.sort(key=lambda r: len(r["passage"]))
             out = []
             for k in range(0, len(rows), 256):
@@ -200,12 +214,7 @@ def copies(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SHARE, id
         df = np.zeros(len(local.distinct), np.int64)
         for r in hits.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("df").alias("df")).toLocalIterator():
             df[r["gram"]] = r["df"]
-        seeds = []
-        kind = np.searchsorted(local.distinct, local.gram)
-        for i in range(len(local.words)):
-            own = np.unique(kind[local.item == i])
-            seeds.append(i * len(local.distinct) + own[np.lexsort((own, df[own]))][: (len(own) + 1) // 2])
-        rare = spark.sparkContext.broadcast(np.concatenate(seeds).astype(np.int64))
+        rare = spark.sparkContext.broadcast(seeds_of(local, df))
         names = F.array(*[F.lit(r["item_id"]).cast("long") for r in rows]) if len(rows) <= 1000 else None
         passed = hits.where("item IS NOT NULL").select("row", "doc_id", "item", "start", "passage", "hit").mapInArrow(
             _aligned(block, rare, least),
