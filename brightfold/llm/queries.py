@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightfold.llm import (
-    decontaminate, jaccard_join, kd_shards, line_dedup, mixing, quotes, substring_dedup, token_counts, topk, toxicity,
+    decontaminate, jaccard_join, kd_shards, line_dedup, mixing, prefix_trie, quotes, secret_scan, substring_dedup, token_counts,
+    topk, toxicity, whitening,
 )
 from brightfold.llm.common import scratch, written
 
@@ -79,6 +80,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the base patterns' counts and hash, and all spans."""
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie over all conversations, each led by its hundred's first turns."""
+    own = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(own, group=100, heads=6))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every embedding; a deviation beyond 64 bits is null."""
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"), components=8)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_token_counts": op2_token_counts,
@@ -90,4 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_links": op8_quotation_links,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }

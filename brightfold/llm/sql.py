@@ -112,5 +112,39 @@ ranked AS (
 taken AS (SELECT *, whole + CASE WHEN sofar <= rest AND rest > 0 THEN 1 ELSE 0 END AS n FROM ranked)
 SELECT doc_id, CAST(e AS INT) AS epoch, domain, lang, source, n_tokens
 FROM (SELECT *, unnest(range(CAST(n AS BIGINT))) AS e FROM taken WHERE n > 0)
+""",
+    "op12_prefix_trie": """
+WITH own AS (
+    SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, '')) AS w,
+           list_reduce([ascii(x) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')], lambda crc, b:
+               list_reduce(range(8), lambda v, k: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, CAST(b AS BIGINT))),
+               4294967295::BIGINT) AS crc
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+built AS (
+    SELECT o.c, coalesce(p.w[1:(xor(o.crc, 4294967295) % 6)], []) || o.w[(xor(o.crc, 4294967295) % 6) + 1:] AS w
+    FROM own o LEFT JOIN own p ON p.c = o.c - o.c % 100
+),
+prefixes AS (SELECT c, d, w[1:d] AS k, len(w) AS n FROM (SELECT *, unnest(range(0, CAST(len(w) AS BIGINT) + 1)) AS d FROM built)),
+nodes AS (
+    SELECT d, k, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+    FROM prefixes GROUP BY d, k
+),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+own_sums AS (
+    SELECT x.d, x.k, CASE WHEN y.n IS NULL THEN 1 ELSE 0 END AS leaf,
+           CASE WHEN x.d > 0 THEN (n_convs - 1) * length(x.k[x.d].t) ELSE 0 END AS saved
+    FROM nodes x LEFT JOIN kids y ON y.k = x.k
+),
+subtree AS (
+    SELECT a AS d, k[1:a] AS k, sum(leaf) AS n_leaves, sum(saved) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own_sums) GROUP BY 1, 2
+)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(x.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(y.n, 0) AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       x.ends_sha256
+FROM nodes x JOIN subtree s ON s.d = x.d AND s.k = x.k LEFT JOIN kids y ON y.k = x.k
+     LEFT JOIN nodes p ON x.d > 0 AND p.d = x.d - 1 AND p.k = x.k[1:x.d - 1]
 """,
 }
