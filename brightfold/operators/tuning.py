@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from brightfold import config
 from brightfold.operators.estimators import param_map, spark_params
 from brightfold.operators.metrics import roc_auc, score_bounds
 from brightfold.operators.scoring import score_models
+from brightfold.operators.shared_fit import Fit, Task, blocks, fit_together, fold_moments, held_out_scores
 
-# Irrational steps of the candidate sequence, one per parameter.
+# Irrational steps of the candidate sequence for the first parameters; more are made by `steps`.
 STEPS = (0.6180339887498949, 0.41421356237309515, 0.7320508075688772)
-FOLD_SCORE_SCHEMA = "candidate int, fold int, auc double"
+FOLD_SCORE_SCHEMA = "candidate int, fold int, auc double, fit_s double"
 
 
 def param_grid(spark: SparkSession, grid: Mapping[str, Sequence[float]]) -> DataFrame:
@@ -35,14 +38,22 @@ def param_grid(spark: SparkSession, grid: Mapping[str, Sequence[float]]) -> Data
     return candidates
 
 
+def steps(count: int) -> list[float]:
+    """Irrational steps, one per parameter: beyond the given ones, fractions of square roots of further primes."""
+    found, number = list(STEPS), 3
+    while len(found) < count:
+        number += 2
+        if all(number % d for d in range(3, math.isqrt(number) + 1, 2)):
+            found.append(math.sqrt(number) % 1.0)
+    return found[:count]
+
+
 def search_candidates(
     spark: SparkSession, space: Mapping[str, tuple], trials: int = config.TRIALS
 ) -> DataFrame:
     """Candidates spread evenly over typed ranges by an additive sequence."""
-    if len(space) > len(STEPS):
-        raise ValueError(f"at most {len(STEPS)} parameters, got {len(space)}")
     candidates = spark.range(trials, numPartitions=1).select(F.col("id").cast("int").alias("candidate"))
-    for (name, (kind, low, high)), step in zip(space.items(), STEPS):
+    for (name, (kind, low, high)), step in zip(space.items(), steps(len(space))):
         position = (F.col("candidate") + 1).cast("double") * F.lit(step)
         u = position - F.floor(position)
         if kind == "int":
@@ -72,6 +83,18 @@ def mean_scores(fold_scores: DataFrame) -> DataFrame:
     )
 
 
+def candidate_results(candidates: DataFrame, fold_scores: DataFrame) -> DataFrame:
+    """One row per scored candidate: parameters, mean score and its deviation, rank (1 is best, ties share), mean fit time.
+
+    As many rows as candidates, so the rank's window is as small as the search.
+    """
+    means = mean_scores(fold_scores).join(
+        fold_scores.groupBy("candidate").agg(F.avg("fit_s").alias("mean_fit_s")), "candidate")
+    best_first = Window.partitionBy(F.lit(0)).orderBy(F.col("mean_auc").desc_nulls_last())
+    ranked = means.withColumn("rank", F.rank().over(best_first))
+    return candidates.join(F.broadcast(ranked), "candidate")
+
+
 def best_candidate(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Highest mean score; ties go to the lowest candidate, NULL never wins over a score."""
     rank = F.struct(F.col("mean_auc"), (-F.col("candidate")).alias("order"))
@@ -80,6 +103,19 @@ def best_candidate(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def fold_sizes(df: DataFrame, folds: int, fold: str = "fold", label: str = config.LABEL) -> dict[int, int]:
+    """Labelled rows of each fold; a row without one, or a fold that leaves nothing to train or to score, is refused."""
+    known = F.when(F.col(fold).between(0, folds - 1), F.col(fold)).alias(fold)
+    found = df.where(F.col(label).isNotNull()).groupBy(known).count().collect()
+    sizes = {r[fold]: r["count"] for r in found}
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} labelled rows have no fold from 0 to {folds - 1}")
+    for held_out in range(folds):
+        if not sizes.get(held_out) or len(sizes) < 2:
+            raise ValueError(f"fold {held_out} leaves no training or no validation rows")
+    return sizes
+
+
 def cross_validate(
     df: DataFrame,
     estimator,
@@ -90,7 +126,7 @@ def cross_validate(
     label: str = config.LABEL,
     parallelism: int = 2,
 ) -> list[tuple]:
-    """(candidate, fold, auc) for each candidate on each held-out fold.
+    """(candidate, fold, auc, fit seconds) for each candidate on each held-out fold.
 
     Folds are predicates on a column of the (persisted) input, so no fold is
     copied. Fits run `parallelism` at a time across candidates and folds; once
@@ -99,35 +135,82 @@ def cross_validate(
     fold and gives the parameter maps of the candidates.
     """
     inside = df.where(F.col(fold).between(0, folds - 1))
-    found = df.where(F.col(label).isNotNull()).groupBy(
-        F.when(F.col(fold).between(0, folds - 1), F.col(fold)).alias(fold)).count().collect()
-    sizes = {r[fold]: r["count"] for r in found}
-    if None in sizes:
-        raise ValueError(f"{sizes[None]} labelled rows have no fold from 0 to {folds - 1}")
+    sizes = fold_sizes(df, folds, fold, label)
     fits = []
     for held_out in range(folds):
         n_train = sum(n for f, n in sizes.items() if f != held_out)
-        if not n_train or not sizes.get(held_out):
-            raise ValueError(f"fold {held_out} leaves no training or no validation rows")
         train = inside.where(F.col(fold) != held_out)
         fits.append(estimator.fitMultiple(train, maps_for(n_train)))
-    fit_next = inheritable_thread_target(df.sparkSession)(lambda held_out: next(fits[held_out]))
+
+    def fit_next(held_out):
+        started = time.perf_counter()
+        index, model = next(fits[held_out])
+        return index, model, time.perf_counter() - started
+
     turns = [held_out for held_out in range(folds) for _ in candidates]
     results, bounds = [], None
     with ThreadPool(max(1, min(parallelism, len(turns)))) as pool:
-        fitted = pool.imap(fit_next, turns)
+        fitted = pool.imap(inheritable_thread_target(df.sparkSession)(fit_next), turns)
         for held_out in range(folds):
-            models = dict(next(fitted) for _ in candidates)
-            models = {(candidate,): models[i] for i, candidate in enumerate(candidates)}
+            done = {index: (model, seconds) for index, model, seconds in (next(fitted) for _ in candidates)}
+            models = {(candidate,): done[i][0] for i, candidate in enumerate(candidates)}
+            seconds = {candidate: done[i][1] for i, candidate in enumerate(candidates)}
             validation = df.where(F.col(fold) == held_out)
             scores = score_models(validation, models, ["candidate"], [label])
             if bounds is None:
                 bounds = score_bounds(scores)
             for row in roc_auc(scores, ["candidate"], label, bounds=bounds).collect():
-                results.append((row["candidate"], held_out, row["roc_auc"]))
+                results.append((row["candidate"], held_out, row["roc_auc"], seconds[row["candidate"]]))
     return results
 
 
+def shares_passes(estimator) -> bool:
+    """Whether all candidates of an estimator can be fitted together: a binary, unweighted, L2 logistic regression."""
+    if not isinstance(estimator, LogisticRegression):
+        return False
+    plain = estimator.getElasticNetParam() == 0 and estimator.getFitIntercept() and estimator.getFamily() in ("auto", "binomial")
+    bounded = any(estimator.isSet(getattr(estimator, f"{side}BoundsOn{what}"))
+                  for side in ("lower", "upper") for what in ("Coefficients", "Intercepts"))
+    return plain and not estimator.isDefined(estimator.weightCol) and not bounded
+
+
+def cross_validate_together(
+    df: DataFrame,
+    estimator: LogisticRegression,
+    settings_for: Callable[[int], list[dict]],
+    candidates: Sequence[int],
+    folds: int = config.FOLDS,
+    fold: str = "fold",
+    label: str = config.LABEL,
+) -> tuple[list[tuple], list[Fit], int]:
+    """As `cross_validate`, with every candidate of every fold fitted in the same passes and scored in the same scan.
+
+    `settings_for` gives the Spark parameters of the candidates. Also returns the fits,
+    keyed (candidate, fold), and the number of passes over the training rows. A fit's
+    seconds are its share of the passes it took part in.
+    """
+    sizes = fold_sizes(df, folds, fold, label)
+    features = estimator.getFeaturesCol()
+    rows = df.where(F.col(fold).between(0, folds - 1) & F.col(label).isNotNull()).select(features, label, fold)
+    tasks = []
+    for held_out in range(folds):
+        settings = settings_for(sum(n for f, n in sizes.items() if f != held_out))
+        for candidate, chosen in zip(candidates, settings):
+            tasks.append(Task(
+                (candidate, held_out), held_out, chosen.get("regParam", estimator.getRegParam()),
+                estimator.getStandardization(), chosen.get("maxIter", estimator.getMaxIter()),
+            ))
+    data = blocks(rows, features, label, fold)
+    try:
+        found = fit_together(data, fold_moments(rows, features, label, fold), tasks)
+    finally:
+        data.unpersist()
+    scores = held_out_scores(rows, found.fits, features, label, fold)
+    aucs = {r["model"]: r["roc_auc"] for r in roc_auc(scores, ["model"], label).collect()}
+    results = [(*fit.task.key, aucs[i], fit.seconds) for i, fit in enumerate(found.fits)]
+    return results, found.fits, found.passes
+
+
 @dataclass
 class SearchResult:
     family: str
@@ -139,6 +222,8 @@ class SearchResult:
     model: object
     cv_results: DataFrame
     fold_scores: DataFrame
+    #: Passes over the training rows that all fits of the search shared; None where every fit made its own.
+    passes: int | None = None
 
 
 def search(
@@ -157,6 +242,9 @@ def search(
 ) -> SearchResult:
     """Score every candidate by cross-validated ROC-AUC and refit the best on all rows.
 
+    Logistic regressions on ready features share their passes (`shared_fit`); other
+    estimators, and pipelines fitted inside the folds, are fitted one by one.
+
     With a time budget, candidates are scored one after the other and no new
     one starts once it is spent; the first always runs. `refit_df` refits on
     other rows than the search used, `refit_estimator` without the stages that
@@ -167,20 +255,23 @@ def search(
     stage = estimator.getStages()[-1] if hasattr(estimator, "getStages") else estimator
     started = time.perf_counter()
     chunks = [list(range(len(params)))] if time_budget_s is None else [[i] for i in range(len(params))]
-    scored = []
+    scored, passes = [], None
     for chunk in chunks:
         if scored and time_budget_s is not None and time.perf_counter() - started >= time_budget_s:
             break
 
-        def maps_for(n_rows):
-            return [
-                param_map(stage, spark_params(family, params[i], profile, n_rows)) for i in chunk
-            ]
+        def settings_for(n_rows):
+            return [spark_params(family, params[i], profile, n_rows) for i in chunk]
 
-        scored += cross_validate(df, estimator, maps_for, chunk, folds, fold, label, parallelism)
+        if shares_passes(estimator):
+            found, _, taken = cross_validate_together(df, estimator, settings_for, chunk, folds, fold, label)
+            passes = taken + (passes or 0)
+        else:
+            found = cross_validate(
+                df, estimator, lambda n: [param_map(stage, s) for s in settings_for(n)], chunk, folds, fold, label, parallelism)
+        scored += found
     fold_scores = spark.createDataFrame(scored, FOLD_SCORE_SCHEMA)
-    means = mean_scores(fold_scores)
-    best = best_candidate(means).head()
+    best = best_candidate(mean_scores(fold_scores)).head()
     search_s = time.perf_counter() - started
 
     started = time.perf_counter()
@@ -192,7 +283,7 @@ def search(
     refit_s = time.perf_counter() - started
     return SearchResult(
         family, profile, chosen, best["mean_auc"], search_s, refit_s, model,
-        candidates.join(F.broadcast(means), "candidate"), fold_scores,
+        candidate_results(candidates, fold_scores), fold_scores, passes,
     )
 
 

@@ -25,11 +25,11 @@ STEPS = 9
 def newton_ctes(rows, regs, name="fit"):
     """CTEs ending in `{name}(model, w0..wK)`.
 
-    `rows` holds (model, y, x1..xK), `regs` holds (model, reg): mean log loss
-    plus reg/2 times the squared weights, intercept free.
+    `rows` holds (model, y, x1..xK), `regs` holds (model, r1..rK): mean log loss
+    plus half the sum of r_i times the squared weights, intercept free.
     """
-    weights = [f"w{i}" for i in range(K + 1)]
-    ctes = [f"{name}_0 AS MATERIALIZED (SELECT model, reg, "
+    weights, penalties = [f"w{i}" for i in range(K + 1)], [f"r{i}" for i in range(1, K + 1)]
+    ctes = [f"{name}_0 AS MATERIALIZED (SELECT model, {', '.join(penalties)}, "
             + ", ".join(f"0e0 AS {w}" for w in weights) + f" FROM {regs})"]
     x = ["1e0"] + [f"x{i}" for i in range(1, K + 1)]
     margin = " + ".join(f"w{i}*{x[i]}" for i in range(K + 1))
@@ -40,21 +40,21 @@ def newton_ctes(rows, regs, name="fit"):
             f"avg(p*(1e0 - p)*{x[i]}*{x[j]}) AS h{i}{j}"
             for i in range(K + 1) for j in range(i, K + 1)
         ]
-        columns = ", ".join(["reg", *weights])
+        columns = ", ".join([*penalties, *weights])
         ctes.append(
             f"{name}_s{step} AS MATERIALIZED (SELECT model, {columns}, {', '.join(sums)} FROM ("
             f"SELECT r.*, {columns}, 1e0/(1e0 + exp(-({margin}))) AS p FROM {rows} r JOIN {previous} USING (model))"
             f" GROUP BY model, {columns})"
         )
-        ridge = ["model", *["reg"], *weights]
-        ridge += ["g0"] + [f"g{i} + reg*w{i} AS g{i}" for i in range(1, K + 1)]
+        ridge = ["model", *penalties, *weights]
+        ridge += ["g0"] + [f"g{i} + r{i}*w{i} AS g{i}" for i in range(1, K + 1)]
         ridge += [
-            f"h{i}{j} + reg AS h{i}{j}" if i == j and i else f"h{i}{j}"
+            f"h{i}{j} + r{i} AS h{i}{j}" if i == j and i else f"h{i}{j}"
             for i in range(K + 1) for j in range(i, K + 1)
         ]
         ctes.append(f"{name}_e{step}_0 AS MATERIALIZED (SELECT {', '.join(ridge)} FROM {name}_s{step})")
         for pivot in range(K):
-            kept = ["model", "reg", *weights]
+            kept = ["model", *penalties, *weights]
             for i in range(K + 1):
                 if i <= pivot:
                     kept += [f"g{i}"] + [f"h{i}{j}" for j in range(i, K + 1)]
@@ -73,11 +73,16 @@ def newton_ctes(rows, regs, name="fit"):
             ctes.append(f"{target} AS MATERIALIZED (SELECT *, (g{i}{rest})/h{i}{i} AS d{i} FROM {source})")
             source = target
         moved = ", ".join(f"w{i} - d{i} AS w{i}" for i in range(K + 1))
-        ctes.append(f"{name}_{step} AS MATERIALIZED (SELECT model, reg, {moved} FROM {source})")
+        ctes.append(f"{name}_{step} AS MATERIALIZED (SELECT model, {', '.join(penalties)}, {moved} FROM {source})")
     ctes.append(f"{name} AS (SELECT * FROM {name}_{STEPS})")
     return ctes
 
 
+def penalties(reg):
+    """The same penalty for every weight."""
+    return ", ".join(f"{reg} AS r{i}" for i in range(1, K + 1))
+
+
 def scaled_cte(profile, name="z", fit_where="fold <> 0"):
     """All rows of the base table, scaled by the statistics of the training rows."""
     std = "stddev_pop" if profile == "exact" else "stddev_samp"
@@ -99,7 +104,7 @@ def single_fit(profile):
     return [
         scaled_cte(profile),
         f"train_rows AS (SELECT 0 AS model, y, {XS} FROM z WHERE fold <> 0)",
-        f"regs AS (SELECT 0 AS model, {reg} AS reg)",
+        f"regs AS (SELECT 0 AS model, {penalties(reg)})",
         *newton_ctes("train_rows", "regs"),
     ]
 
@@ -118,13 +123,15 @@ def cross_validation(profile, candidates, folds, folded):
     `folded(label, fold, y, x1..xK)`; model = 100 * candidate + held-out fold.
     """
     listed = union([f"SELECT {i} AS candidate, {c} AS C" for i, c in enumerate(candidates)])
-    n_fold = "(SELECT count(*) * 1e0 FROM folded WHERE folded.fold <> f.fold)"
-    reg = f"1e0/(C * {n_fold})" if profile == "exact" else "1e0/C"
+    # Natively a fold's penalty is on its own scale: weights times the deviation over its training rows.
+    regs = [f"1e0/(C * n) AS r{i}" if profile == "exact" else f"v{i}/C AS r{i}" for i in range(1, K + 1)]
+    variances = ", ".join(f"var_samp(x{i}) AS v{i}" for i in range(1, K + 1))
     return [
         folded,
         f"candidates AS ({listed})",
-        f"regs AS (SELECT candidate * 100 + f.fold AS model, {reg} AS reg FROM candidates"
-        f" CROSS JOIN (SELECT unnest(range({folds})) AS fold) f)",
+        f"scales AS MATERIALIZED (SELECT h.fold, count(*) * 1e0 AS n, {variances} FROM folded JOIN"
+        f" (SELECT unnest(range({folds})) AS fold) h ON folded.fold <> h.fold GROUP BY h.fold)",
+        f"regs AS MATERIALIZED (SELECT candidate * 100 + fold AS model, {', '.join(regs)} FROM candidates CROSS JOIN scales)",
         f"train_rows AS (SELECT r.model, y, {XS} FROM folded CROSS JOIN regs r WHERE folded.fold <> r.model % 100)",
         *newton_ctes("train_rows", "regs"),
         f"held_out AS (SELECT fit.model, label, {PROBABILITY} AS score FROM folded JOIN fit"
@@ -159,12 +166,15 @@ def stratified_folds(source, folds, where=""):
     )
 
 
+RANK = "CAST(rank() OVER (ORDER BY mean_auc DESC NULLS LAST) AS INT)"
+
+
 def cv_sql(profile, candidates, folds, *ctes, folded, with_max_iter):
     extra = ", 2e2 AS max_iter" if with_max_iter else ""
     penalty = "C" if with_max_iter else "round(C, 8) AS C"
     return with_base(
         f"SELECT candidate, {penalty}{extra}, round(mean_auc, 4) AS mean_auc, round(std_auc, 4) AS std_auc,"
-        " n_folds FROM cv JOIN candidates USING (candidate)",
+        f" n_folds, {RANK} AS rank, true AS fit_timed FROM cv JOIN candidates USING (candidate)",
         scaled_cte(profile), *ctes, *cross_validation(profile, candidates, folds, folded),
     )
 
@@ -179,7 +189,7 @@ def grid_search_sql():
         f"SELECT t.*, {best} AS best_C, (SELECT round(max(mean_auc), 4) FROM cv) AS cv_score FROM ({terms}) t",
         scaled_cte("native"), *cross_validation("native", GRID_C, 5, key_folds(5)),
         f"all_rows AS (SELECT 0 AS model, y, {XS} FROM folded)",
-        f"best_reg AS (SELECT 0 AS model, 1e0/{best} AS reg)",
+        f"best_reg AS MATERIALIZED (SELECT 0 AS model, {penalties(f'1e0/{best}')})",
         *newton_ctes("all_rows", "best_reg", "refit"),
     )
 
@@ -257,7 +267,7 @@ def leaderboard_lr_sql():
         ctes += [
             scaled_cte(profile, z),
             f"rows_{profile} AS (SELECT 0 AS model, y, {XS} FROM {z} WHERE fold <> 0)",
-            f"regs_{profile} AS (SELECT 0 AS model, {reg} AS reg)",
+            f"regs_{profile} AS (SELECT 0 AS model, {penalties(reg)})",
             *newton_ctes(f"rows_{profile}", f"regs_{profile}", f"fit_{profile}"),
         ]
         parts.append(
@@ -291,7 +301,8 @@ MODEL_SQL = {
         ("lr", "benchmark", None), ("rf", "benchmark", 100), ("gbt", "benchmark", 100)),
     "cv_results": cv_sql("native", GRID_C, 5, folded=key_folds(5), with_max_iter=True),
     "cv_fold_results": with_base(
-        "SELECT CAST(model // 100 AS INT) AS candidate, CAST(model % 100 AS INT) AS fold, round(auc, 4) AS auc FROM aucs",
+        "SELECT CAST(model // 100 AS INT) AS candidate, CAST(model % 100 AS INT) AS fold, round(auc, 4) AS auc, true AS fit_timed,"
+        f" rank FROM aucs JOIN (SELECT candidate, {RANK} AS rank FROM cv) ON candidate = CAST(model // 100 AS INT)",
         scaled_cte("native"), *cross_validation("native", GRID_C, 5, key_folds(5))),
     "fit_tree": tree_sql(),
     "grid_search_lr": grid_search_sql(),
