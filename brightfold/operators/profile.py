@@ -2,34 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from brightfold import config
-from brightfold.functions.expressions import equal_width_bin, finite_or_null, is_missing, nan_to_null
-from brightfold.operators.projections import to_long
-from brightfold.operators.ranks import (
-    BRACKET_ROWS,
-    exact_quantiles,
-    order_statistics,
-    quantile_ranks,
-)
+from brightfold.functions.expressions import is_missing, nan_to_null
+from brightfold.operators.ranks import BRACKET_ROWS, RankHit, exact_quantiles, quantile_ranks
+from brightfold.operators.wide_profile import Measured, WideProfile, first_scan
 
 QUARTILES = (0.25, 0.5, 0.75)
 #: Share of a sum of squares that rounding may leave of a variance of 0.
 ROUNDING = 1e-12
 
 
-def _long_values(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Long form with NaN as NULL, so that it counts as missing everywhere."""
-    return to_long(df, features, keys).withColumn("value", nan_to_null(F.col("value")))
+STATISTICS = ["feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max", "missing_pct"]
 
 
 def summary_statistics(
@@ -40,56 +31,53 @@ def summary_statistics(
 ) -> DataFrame:
     """One row per feature: count, mean, sample std, min, quartiles, max, missing share.
 
-    The exact quartiles take one further aggregate over the input, not a sort.
+    Two scans without expanding a row: a profile of every column, then the values
+    around the quartiles. Quartiles that aren't `exact` are approximate percentiles, in one scan.
     """
-    values = _long_values(df, features)
-    x = F.col("value")
-    columns = {
-        "mean": F.avg(x),
-        "std": F.stddev_samp(x),
-        "min": F.min(x),
-        "max": F.max(x),
-        "missing_pct": F.lit(100.0) * F.avg(F.when(x.isNull(), 1.0).otherwise(0.0)),
-    }
-    order = ["feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max", "missing_pct"]
     if not exact:
-        quartiles = F.percentile_approx(x, F.array(*map(F.lit, QUARTILES)), 10_000)
-        return (
-            values.groupBy("feature")
-            .agg(
-                F.count(x).alias("count"),
-                quartiles.alias("q"),
-                *[column.alias(name) for name, column in columns.items()],
-            )
-            .select("*", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(order[5:8])])
-            .select(*order)
-        )
-    found = order_statistics(
-        values,
-        "feature",
-        "value",
-        lambda sizes: {
-            name: [rank for p in QUARTILES for rank in quantile_ranks(size, p)]
-            for name, size in sizes.items()
-        },
-        near=QUARTILES,
-        extras=columns,
-        bracket_rows=bracket_rows,
-    )
+        return _approximate_statistics(df, features)
+    profile = first_scan(df, features)
+    measured = profile.measure(quartile_ranks(profile), bracket_rows=bracket_rows)
+    return statistics_table(profile, measured)
+
+
+def quartile_ranks(profile: WideProfile) -> dict[int, list[int]]:
+    """The ranks around the quartiles of every feature that has values."""
+    sizes = {i: profile.total(i).n for i in range(len(profile.features))}
+    return {i: [rank for p in QUARTILES for rank in quantile_ranks(n, p)] for i, n in sizes.items() if n}
+
+
+def statistics_table(profile: WideProfile, measured: Measured) -> DataFrame:
     rows = []
-    for name in features:
-        size, extra, hits = found.sizes.get(name, 0), found.extras.get(name, {}), found.hits.get(name)
-        quartiles = exact_quantiles(hits, size, QUARTILES) if hits else [None] * len(QUARTILES)
-        rows.append((
-            name, size, extra.get("mean"), extra.get("std"), extra.get("min"),
-            *quartiles, extra.get("max"), extra.get("missing_pct"),
-        ))
+    for i, name in enumerate(profile.features):
+        m = profile.total(i)
+        hits = {rank: RankHit(value, 0, 0) for (feature, rank), value in measured.values.items() if feature == i}
+        quartiles = exact_quantiles(hits, m.n, QUARTILES) if m.n else [None] * len(QUARTILES)
+        std = math.sqrt(m.m2 / (m.n - 1)) if m.n > 1 else None
+        known = (m.mean, std, m.low) if m.n else (None, None, None)
+        rows.append((name, m.n, *known, *quartiles, m.high if m.n else None, profile.missing_pct(i)))
     schema = T.StructType([
         T.StructField("feature", T.StringType()),
         T.StructField("count", T.LongType()),
-        *[T.StructField(c, T.DoubleType()) for c in order[2:]],
+        *[T.StructField(c, T.DoubleType()) for c in STATISTICS[2:]],
     ])
-    return df.sparkSession.createDataFrame(rows, schema)
+    return profile.df.sparkSession.createDataFrame(rows, schema)
+
+
+def _approximate_statistics(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One wide aggregate; its single row is turned into one per feature."""
+    columns = []
+    for i, c in enumerate(features):
+        x = nan_to_null(F.col(c).cast("double"))
+        columns.append(F.struct(
+            F.lit(c).alias("feature"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.percentile_approx(x, F.array(*map(F.lit, QUARTILES)), 10_000).alias("q"), F.max(x).alias("max"),
+            (F.lit(100.0) * F.avg(F.when(x.isNull(), 1.0).otherwise(0.0))).alias("missing_pct"),
+        ).alias(f"_{i}"))
+    wide = df.agg(*columns)
+    rows = wide.select(F.inline(F.array(*wide.columns)))
+    quartiles = {name: F.get("q", F.lit(i)) for i, name in enumerate(STATISTICS[5:8])}
+    return rows.withColumns(quartiles).select(*STATISTICS)
 
 
 def missing_pct(df: DataFrame, features: Sequence[str] = config.FEATURES) -> DataFrame:
@@ -118,44 +106,38 @@ def class_histogram(
     """Density histogram per (feature, class), empty bins included.
 
     Edges run over each class's own range, or over the range of both with
-    `shared_edges`. Infinite values have no bin and count as missing. Labels other than 0 and 1 are left out, so the ranges are
-    two rows per feature at most: they pass through the driver and are
-    broadcast. The input is read twice, with one small shuffle each time.
+    `shared_edges`. Infinite values have no bin and count as missing. Labels other than
+    0 and 1 are left out. Two scans without expanding a row: ranges, then counts.
     """
-    values = (
-        _long_values(df.where(F.col(label).isin(0, 1)), features, [label])
-        .where(finite_or_null(F.col("value")).isNotNull())
-    )
-    found = values.groupBy("feature", label).agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n")
-    )
-    ranges = df.sparkSession.createDataFrame(found.collect(), found.schema)
-    if shared_edges:
-        both = Window.partitionBy("feature")
-        ranges = ranges.withColumns({
-            "low": F.min("low").over(both), "high": F.max("high").over(both),
-        })
-    counts = (
-        values.join(F.broadcast(ranges.select("feature", label, "low", "high")), ["feature", label])
-        .groupBy("feature", label, equal_width_bin(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.count("*").alias("n_in_bin"))
-    )
-    # A constant range is widened by half a unit on either side.
-    constant = F.col("low") == F.col("high")
-    start = F.when(constant, F.col("low") - 0.5).otherwise(F.col("low"))
-    width = F.when(constant, F.lit(1.0)).otherwise(F.col("high") - F.col("low")) / F.lit(float(bins))
-    every_bin = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    filled = every_bin.join(F.broadcast(counts), ["feature", label, "bin"], "left")
-    n_in_bin = F.coalesce("n_in_bin", F.lit(0))
-    return filled.select(
-        "feature",
-        label,
-        "bin",
-        (start + F.col("bin") * width).alias("left_edge"),
-        (start + (F.col("bin") + 1) * width).alias("right_edge"),
-        n_in_bin.alias("n_rows"),
-        (n_in_bin / (F.col("n") * width)).alias("density"),
-    )
+    profile = first_scan(df, features, label)
+    ranges = histogram_ranges(profile, shared_edges)
+    measured = profile.measure(bins=bins, ranges=ranges)
+    return histogram_table(profile, measured, ranges, bins)
+
+
+def histogram_ranges(profile: WideProfile, shared_edges: bool = False) -> dict[tuple[int, int], tuple[float, float]]:
+    """Finite range of each (feature, class) that has finite values."""
+    own = {at: (m.finite_low, m.finite_high) for at, m in profile.moments.items() if at[1] in (0, 1) and m.finite}
+    if not shared_edges:
+        return own
+    return {(i, c): (min(own[s][0] for s in ((i, 0), (i, 1)) if s in own), max(own[s][1] for s in ((i, 0), (i, 1)) if s in own))
+            for i, c in own}
+
+
+def histogram_table(profile: WideProfile, measured: Measured, ranges: Mapping, bins: int) -> DataFrame:
+    label = profile.label
+    rows = []
+    for (i, c), (low, high) in sorted(ranges.items()):
+        # A constant range is widened by half a unit on either side.
+        start, width = (low - 0.5, 1.0 / bins) if low == high else (low, (high - low) / bins)
+        n = profile.moments[i, c].finite
+        for b in range(bins):
+            inside = measured.bins.get((i, c, b), 0)
+            rows.append((profile.features[i], c, b, start + b * width, start + (b + 1) * width, inside, inside / (n * width)))
+    kind = profile.df.schema[label].dataType.simpleString()
+    schema = f"feature string, {label} int, bin int, left_edge double, right_edge double, n_rows long, density double"
+    table = profile.df.sparkSession.createDataFrame(rows, schema)
+    return table.withColumn(label, F.col(label).cast(kind))
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = config.FEATURES) -> DataFrame:
@@ -188,14 +170,12 @@ def correlation_pairwise(df: DataFrame, features: Sequence[str] = config.FEATURE
     the features wide, reaches the driver. A column constant over a pair's rows (within
     rounding) correlates as NULL.
     """
-    p = len(features)
-    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(features)])
-    means = clean.agg(*map(F.avg, clean.columns)).head()
-    centred = [F.coalesce(F.col(c) - F.lit(m), F.lit(0.0)) for c, m in zip(clean.columns, means)]
-    present = [F.col(c).isNotNull().cast("double") for c in clean.columns]
-    vectors = clean.select(array_to_vector(F.array(*centred, *[x * x for x in centred], *present)).alias("_vector"))
-    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_vector"), 0, 3 * p)
-    gram = rows.computeGramianMatrix().toArray()
+    profile = first_scan(df, features)
+    return correlation_table(profile, profile.measure(correlate=True))
+
+
+def correlation_table(profile: WideProfile, measured: Measured) -> DataFrame:
+    gram, features, p = measured.gram, profile.features, len(profile.features)
     cross, sums, squares, n = gram[:p, :p], gram[:p, 2 * p:], gram[p:2 * p, 2 * p:], gram[2 * p:, 2 * p:]
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = sums / n
@@ -209,4 +189,4 @@ def correlation_pairwise(df: DataFrame, features: Sequence[str] = config.FEATURE
         for i, a in enumerate(features)
         for j, b in enumerate(features)
     ]
-    return df.sparkSession.createDataFrame(found, "feature_a string, feature_b string, r double")
+    return profile.df.sparkSession.createDataFrame(found, "feature_a string, feature_b string, r double")
