@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -154,7 +155,8 @@ def rank_parts(
     `cuts` gets the rows of each stratum and gives its cut ranks. `key` is an integer hash below 2**53; NULL comes
     before all others. The cuts are found by order statistics
     on the hash; rows that share a cut's hash are ordered by `ties` and then by
-    all other columns, so only identical rows stay undecided, and those are
+    all other columns, one after the other, each by order statistics inside the tie
+    (`tied_ranks`). Only identical rows stay undecided, and those are
     divided by count. Assigning a part is then a comparison with literals.
     """
     columns = df.columns
@@ -177,7 +179,7 @@ def rank_parts(
         for rank, hit in hits.items()
         if rank > hit.below
     }
-    boundaries = _tie_boundaries(hashed, stratum, order, inner) if inner else {}
+    boundaries = _tie_boundaries(hashed, stratum, order, inner, bracket_rows) if inner else {}
 
     part = None
     for name, ranks in wanted_cuts.items():
@@ -190,7 +192,7 @@ def rank_parts(
 
     straddling = {}
     for (name, rank), (values, start, copies) in boundaries.items():
-        if start < rank:
+        if start < rank and len(values) == len(order):
             straddling[name, tuple(values)] = (values, start, copies)
     if not straddling:
         return hashed.withColumn(out, assigned).select(*columns, out)
@@ -206,10 +208,12 @@ def rank_parts(
     return decided
 
 
-def _tie_boundaries(hashed, stratum, order, inner):
-    """For cuts that fall among equal hashes: the tuple at the cut, its first rank, its copies.
+def _tie_boundaries(hashed, stratum, order, inner, bracket_rows):
+    """For cuts that fall among equal hashes: (values at the cut, first rank of these values, their copies).
 
-    Tuples travel as text and are cast back, so columns must survive that.
+    Values are of as many columns of the order as it takes to tell the cut's row from the
+    one before it; of all columns where identical rows straddle the cut. They travel as
+    text and are cast back, so columns must survive that.
     """
     bad = [
         c for c in order
@@ -218,30 +222,115 @@ def _tie_boundaries(hashed, stratum, order, inner):
     ]
     if bad:
         raise ValueError(f"rows tie at a cut and cannot be ordered by {bad}: split before assembling")
-    schema = hashed.select(stratum, "_h").schema.add("_below", "long").add("_rank", "long")
-    cut_rows = [(name, hit.value, hit.below, rank) for (name, rank), hit in inner.items()]
-    cuts = hashed.sparkSession.createDataFrame(cut_rows, schema)
-    keys = cuts.select(stratum, "_h").distinct()
-    counted = (
-        hashed.join(F.broadcast(keys), [stratum, "_h"])
-        .groupBy(stratum, "_h", *[c for c in order if c != stratum])
-        .agg(F.count("*").alias("_n"))
-    )
-    running = Window.partitionBy(stratum, "_h").orderBy(*order)
-    local_end = F.col("_below") + F.col("_end")
-    rows = (
-        counted.withColumn("_end", F.sum("_n").over(running))
-        .join(F.broadcast(cuts), [stratum, "_h"])
-        .where((F.col("_rank") < local_end) & (F.col("_rank") >= local_end - F.col("_n")))
-        .select(
-            F.col(stratum).alias("_stratum"), "_rank", "_n", (local_end - F.col("_n")).alias("_start"),
-            F.array(*[F.col(c).cast("string") for c in order]).alias("_values"),
-        )
-        .collect()
-    )
-    return {
-        (r["_stratum"], r["_rank"]): (r["_values"], r["_start"], r["_n"]) for r in rows
-    }
+    open_ = {key: (str(hit.value), (), hit.below, hit.copies) for key, hit in inner.items()}
+    boundaries = {}
+    for column in order:
+        if not open_:
+            break
+        ties = {}
+        for (name, rank), (h, values, start, copies) in open_.items():
+            ties.setdefault((name, h, values), (copies, start, set()))[2].add(rank - start)
+        asked = []
+        for (name, h, values), (copies, _, ranks) in ties.items():
+            same = (F.col(stratum) == F.lit(name)) & (F.col("_h") == F.lit(float(h)))
+            for c, value in zip(order, values):
+                same = same & F.col(c).eqNullSafe(F.lit(value).cast(hashed.schema[c].dataType))
+            asked.append((same, copies, ranks))
+        numbers = {tie: i for i, tie in enumerate(ties)}
+        found = tied_ranks(hashed, asked, column, bracket_rows)
+        for (name, rank), (h, values, start, _) in list(open_.items()):
+            value, below, copies = found[numbers[name, h, values], rank - start]
+            values, start = (*values, value), start + below
+            open_[name, rank] = h, values, start, copies
+            if start == rank:
+                boundaries[name, rank] = list(values), start, copies
+                del open_[name, rank]
+    boundaries |= {key: (list(values), start, copies) for key, (_, values, start, copies) in open_.items()}
+    return boundaries
+
+
+@dataclass(frozen=True)
+class Bracket:
+    """Values of a tie between two others, both excluded; None is open, and a null is below all."""
+
+    tie: int
+    low: str | None
+    high: str | None
+    below: int
+    rows: int
+    ranks: frozenset
+
+
+#: Values that cut a large bracket, about.
+SPLITS = 48
+
+
+def tied_ranks(df: DataFrame, ties: Sequence[tuple], column: str, bracket_rows: int = BRACKET_ROWS) -> dict[tuple[int, int], tuple]:
+    """(value as text, rows below it, its copies) of a column at ranks inside disjoint ties.
+
+    A tie is (condition, rows, ranks); nulls come first. Brackets with many rows are cut at
+    some values of rows drawn by hash and at their ends, and the rows between counted, until
+    each bracket holds `bracket_rows` rows at most or is one value: no window ever sees more.
+    Works for every type that can be ordered and written as text.
+    """
+    kind = df.schema[column].dataType
+    x, found, draw = F.col(column), {}, 0
+    typed = lambda text: F.lit(text).cast(kind)
+    open_ = [Bracket(i, None, None, 0, rows, frozenset(ranks)) for i, (_, rows, ranks) in enumerate(ties) if ranks]
+
+    def inside(b):
+        same = ties[b.tie][0]
+        if b.low is not None:
+            same = same & (x > typed(b.low))
+        return same if b.high is None else same & (x < typed(b.high))
+
+    def numbered(brackets):
+        number = F.coalesce(*[F.when(inside(b), F.lit(i)) for i, b in enumerate(brackets)])
+        return df.withColumn("_b", number).where(F.col("_b").isNotNull())
+
+    while open_:
+        small, large = [b for b in open_ if b.rows <= bracket_rows], [b for b in open_ if b.rows > bracket_rows]
+        open_ = []
+        if small:
+            counted = numbered(small).groupBy("_b", x.alias("_x")).agg(F.count("*").alias("_n"))
+            running = Window.partitionBy("_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            wanted = df.sparkSession.createDataFrame(
+                [(i, rank, rank - b.below) for i, b in enumerate(small) for rank in b.ranks], "_b int, _rank long, _in long")
+            hits = counted.withColumn("_end", F.sum("_n").over(running)).join(F.broadcast(wanted), "_b").where(
+                (F.col("_in") < F.col("_end")) & (F.col("_in") >= F.col("_end") - F.col("_n")))
+            for r in hits.select("_b", "_rank", "_n", "_end", F.col("_x").cast("string").alias("_x")).collect():
+                b = small[r["_b"]]
+                found[b.tie, r["_rank"]] = r["_x"], b.below + r["_end"] - r["_n"], r["_n"]
+        if large:
+            draw += 1
+            drawn = F.pmod(F.xxhash64(F.lit(draw), *[F.col(c) for c in df.columns]), F.lit(1 << 40))
+            share = F.element_at(F.array(*[F.lit(int(SPLITS / b.rows * (1 << 40))) for b in large]), F.col("_b") + 1)
+            cuts = numbered(large).groupBy("_b").agg(
+                F.sort_array(F.array_distinct(F.concat(
+                    F.collect_set(F.when(drawn < share, x)), F.array_compact(F.array(F.min(x), F.max(x)))))).alias("_cuts"),
+            ).select("_b", F.transform("_cuts", lambda c: c.cast("string")).alias("_cuts")).collect()
+            splits = {r["_b"]: r["_cuts"] for r in cuts}
+            # 0 is null, odd zones lie between cuts, even ones are the cuts themselves.
+            zone = F.coalesce(*[
+                F.when((F.col("_b") == i) & x.isNotNull(), sum(
+                    ((x >= typed(c)).cast("int") + (x > typed(c)).cast("int") for c in splits.get(i, ())), F.lit(1)))
+                for i in range(len(large))
+            ], F.lit(0))
+            zones = {}
+            for r in numbered(large).groupBy("_b", zone.alias("_z")).count().collect():
+                zones.setdefault(r["_b"], {})[r["_z"]] = r["count"]
+            for i, b in enumerate(large):
+                below, at = b.below, splits.get(i, [])
+                for z in sorted(zones[i]):
+                    n = zones[i][z]
+                    ranks = frozenset(rank for rank in b.ranks if below <= rank < below + n)
+                    if ranks and z % 2 == 0:
+                        found.update({(b.tie, rank): (at[z // 2 - 1] if z else None, below, n) for rank in ranks})
+                    elif ranks:
+                        low, high = at[z // 2 - 1] if z > 1 else b.low, at[z // 2] if z // 2 < len(at) else b.high
+                        open_.append(Bracket(b.tie, low, high, below, n, ranks))
+                    below += n
+    return found
 
 
 def _typed(df, order, values):
@@ -257,9 +346,10 @@ def _crossed(df, found, boundaries, order, name, rank):
     hit = found.hits[name][rank]
     if rank == hit.below:
         return F.when(F.col("_h") >= F.lit(hit.value), 1).otherwise(0)
-    values = _typed(df, order, boundaries[name, rank][0])
-    boundary = F.struct(*[v.alias(c) for c, v in zip(order, values)])
-    at_cut = (F.col("_h") == F.lit(hit.value)) & (F.struct(*order) >= boundary)
+    values = boundaries[name, rank][0]
+    columns = order[: len(values)]
+    boundary = F.struct(*[v.alias(c) for c, v in zip(columns, _typed(df, columns, values))])
+    at_cut = (F.col("_h") == F.lit(hit.value)) & (F.struct(*columns) >= boundary)
     return F.when((F.col("_h") > F.lit(hit.value)) | at_cut, 1).otherwise(0)
 
 
