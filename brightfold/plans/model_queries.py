@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from brightfold import config
-from brightfold.operators import metrics, split, timing, tuning
+from brightfold.operators import boosting, metrics, split, timing, tuning
 from brightfold.operators.estimators import (
     make_estimator,
     param_map,
@@ -97,7 +97,7 @@ def predict_proba(spark, sf_dir):
 
 def _ensemble_checks(spark, sf_dir, entries):
     """Fit each (family, profile, settings); count rows and check what every ensemble must meet."""
-    models, sizes, trees, rounds = {}, {}, {}, {}
+    models, sizes, trees, rounds, by_losses = {}, {}, {}, {}, {}
     for scaling in dict.fromkeys("exact" if profile == "exact" else "native" for _, profile, _ in entries):
         with _training_data(spark, sf_dir, scaling) as (data, transform):
             n_train = data.count()
@@ -111,6 +111,7 @@ def _ensemble_checks(spark, sf_dir, entries):
                 trees[family, profile] = None if family == "lr" else len(model.treeWeights)
                 if family == "gbt" and estimator.isDefined("validationIndicatorCol"):
                     rounds[family, profile] = estimator.getMaxIter()
+                    by_losses[family, profile] = boosting.stops_by_losses(estimator, model, data)
     scores = score_models(_test(spark, sf_dir), models, ["family", "profile"])
     with persisted(scores) as scores:
         quality = metrics.classification_metrics(scores, ["family", "profile"]).collect()
@@ -125,13 +126,13 @@ def _ensemble_checks(spark, sf_dir, entries):
         stops = at in rounds
         rows.append((
             *at, sizes[at], r["n_rows"], None if stops else trees[at],
-            trees[at] < rounds[at] if stops else None,
+            trees[at] < rounds[at] if stops else None, by_losses.get(at),
             checks[at]["valid"], checks[at]["consistent"], r["roc_auc"] > 0.75,
         ))
     return spark.createDataFrame(
         rows,
         "family string, profile string, n_train bigint, n_scored bigint,"
-        " n_trees bigint, stopped_early boolean, probabilities_valid boolean, predictions_consistent boolean, separates_classes boolean",
+        " n_trees bigint, stopped_early boolean, stops_by_losses boolean, probabilities_valid boolean, predictions_consistent boolean, separates_classes boolean",
     )
 
 
@@ -149,7 +150,7 @@ def fit_rf_exact(spark, sf_dir):
 
 
 def fit_gbt_exact(spark, sf_dir):
-    """Boosting of up to 100 rounds, stopped early."""
+    """Boosting of up to 100 rounds, stopped early; one round more, unstopped, must lose where the rule says."""
     return _ensemble_checks(spark, sf_dir, [("gbt", "exact", {})])
 
 
@@ -177,6 +178,32 @@ def fit_tree(spark, sf_dir):
     )
 
 
+def _small_boosting(spark, sf_dir):
+    """Three rounds of two levels over columns of few values, where boosting has one answer; and both sides."""
+    rows = assemble(base(spark, sf_dir), TREE_FEATURES, "features")
+    checkpoint_root(spark)
+    train, test = choose_split(rows, "train"), choose_split(rows, "test")
+    return make_estimator("gbt", maxIter=3, maxDepth=2, maxBins=64, stepSize=0.3).fit(train), train, test
+
+
+def fit_gbt_small(spark, sf_dir):
+    """Test rows and positives for each probability of a small boosted ensemble, after each of its rounds."""
+    model, _, test = _small_boosting(spark, sf_dir)
+    parts = [
+        positive_probability(predict(test, boosting.cut(model, n))).select(F.lit(n).alias("rounds"), "score", "label")
+        for n in (1, 2, 3)
+    ]
+    scored = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return scored.groupBy("rounds", F.round("score", 6).alias("probability")).agg(
+        F.count("*").alias("n_rows"), F.sum("label").alias("n_positive"))
+
+
+def gbt_rounds(spark, sf_dir):
+    """Loss of a small boosted ensemble after each round, on the rows it was trained on and on the others."""
+    model, train, test = _small_boosting(spark, sf_dir)
+    return boosting.loss_table(model, {"train": train, "test": test}).withColumn("loss", F.round("loss", 6))
+
+
 def _cv_rows(result, digits=4):
     """Candidate results with scores rounded for comparison; the time itself depends on the machine."""
     rows = result.cv_results.withColumn("fit_timed", F.col("mean_fit_s") > 0).drop("mean_fit_s")
@@ -397,7 +424,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         fit_lr, fit_lr_exact, fit_rf, fit_gbt, fit_rf_exact, fit_gbt_exact, fit_benchmark_profile,
-        fit_tree,
+        fit_tree, fit_gbt_small, gbt_rounds,
         predict_batch, predict_proba, cv_results, cv_fold_results, grid_search_lr, grid_search_rf, grid_search_gbt,
         grid_search_stratified, search_lr, search_rf, search_gbt, search_subsampled,
         model_roundtrip, leaderboard, leaderboard_lr, timing_row,

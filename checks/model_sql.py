@@ -199,7 +199,8 @@ def ensemble_sql(*entries):
     return with_base(union([
         f"""SELECT '{family}' AS family, '{profile}' AS profile, count(*) FILTER (fold <> 0) AS n_train,
  count(*) FILTER (fold = 0) AS n_scored, CAST({trees or 'NULL'} AS BIGINT) AS n_trees,
- CAST({'true' if trees == 0 else 'NULL'} AS BOOLEAN) AS stopped_early, true AS probabilities_valid, true AS predictions_consistent,
+ CAST({'true' if trees == 0 else 'NULL'} AS BOOLEAN) AS stopped_early,
+ CAST({'true' if trees == 0 else 'NULL'} AS BOOLEAN) AS stops_by_losses, true AS probabilities_valid, true AS predictions_consistent,
  true AS separates_classes FROM base"""
         for family, profile, trees in entries
     ]))
@@ -239,6 +240,60 @@ def tree_sql():
     )
 
 
+def variance_split(rows, name):
+    """CTEs ending in `{name}(node, feature, value)`: the cut x <= value that leaves the least variance of t for each node."""
+    return [
+        f"{name}_cells AS MATERIALIZED (SELECT node, feature, value, count(*) * 1e0 AS n, sum(t) AS s FROM ("
+        "SELECT node, t, unnest([1, 2, 3]) AS feature, unnest([l_quantity, l_discount, l_tax]) AS value"
+        f" FROM {rows} WHERE fold <> 0) GROUP BY ALL)",
+        f"{name}_cuts AS (SELECT node, feature, value, sum(n) OVER upto AS l, sum(s) OVER upto AS ls,"
+        f" sum(n) OVER whole AS n, sum(s) OVER whole AS s FROM {name}_cells WINDOW"
+        " upto AS (PARTITION BY node, feature ORDER BY value), whole AS (PARTITION BY node, feature))",
+        f"{name} AS MATERIALIZED (SELECT node, arg_max(feature, gain) AS feature, arg_max(value, gain) AS value FROM ("
+        f"SELECT *, ls*ls/l + (s - ls)*(s - ls)/(n - l) AS gain FROM {name}_cuts WHERE l < n) GROUP BY node)",
+    ]
+
+
+def boosting_ctes(rounds, step):
+    """CTEs ending in `boosted(label, fold, f1..f{rounds})`: margins after each round, for all rows.
+
+    The first tree is fitted to y = -1 or 1, later ones to 4y/(1 + exp(2yF)).
+    """
+    x = "(CASE feature WHEN 1 THEN l_quantity WHEN 2 THEN l_discount ELSE l_tax END)"
+    ctes = ["margins_0 AS MATERIALIZED (SELECT *, 2e0 * label - 1e0 AS y FROM base)"]
+    known = []
+    for i in range(1, rounds + 1):
+        target = "y" if i == 1 else f"4e0*y/(1e0 + exp(2e0*y*f{i - 1}))"
+        ctes += [
+            f"rooted_{i} AS MATERIALIZED (SELECT *, {target} AS t, 0 AS node FROM margins_{i - 1})",
+            *variance_split(f"rooted_{i}", f"top_{i}"),
+            f"halved_{i} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CAST({x} <= value AS INT) AS node FROM rooted_{i} r CROSS JOIN top_{i})",
+            *variance_split(f"halved_{i}", f"low_{i}"),
+            f"leafed_{i} AS MATERIALIZED (SELECT h.*, 2 * node + CAST({x} <= value AS INT) AS leaf FROM halved_{i} h JOIN low_{i} USING (node))",
+            f"leaves_{i} AS MATERIALIZED (SELECT leaf, avg(t) AS p FROM leafed_{i} WHERE fold <> 0 GROUP BY leaf)",
+            f"margins_{i} AS MATERIALIZED (SELECT m.* EXCLUDE (t, node, leaf, p),"
+            f" {'p' if i == 1 else f'f{i - 1} + {step}*p'} AS f{i} FROM (SELECT * FROM leafed_{i} JOIN leaves_{i} USING (leaf)) m)",
+        ]
+        known.append(f"f{i}")
+    return [*ctes, f"boosted AS (SELECT label, fold, y, {', '.join(known)} FROM margins_{rounds})"]
+
+
+def small_boosting_sql(rounds=3, step="3e-1"):
+    parts = [f"SELECT {i} AS rounds, label, 1e0/(1e0 + exp(-2e0*f{i})) AS score FROM boosted WHERE fold = 0" for i in range(1, rounds + 1)]
+    return with_base(
+        "SELECT CAST(rounds AS INT) AS rounds, round(score, 6) AS probability, count(*) AS n_rows,"
+        f" CAST(sum(label) AS BIGINT) AS n_positive FROM ({union(parts)}) GROUP BY 1, 2", *boosting_ctes(rounds, step))
+
+
+def round_losses_sql(rounds=3, step="3e-1"):
+    parts = [
+        f"SELECT CASE WHEN fold = 0 THEN 'test' ELSE 'train' END AS side, CAST({i} AS INT) AS round,"
+        f" round(avg(2e0*ln(1e0 + exp(-2e0*y*f{i}))), 6) AS loss FROM boosted GROUP BY 1"
+        for i in range(1, rounds + 1)
+    ]
+    return with_base(f"SELECT * FROM ({union(parts)})", *boosting_ctes(rounds, step))
+
+
 def tree_search_sql(family, candidates, folds=5):
     return with_base(
         f"SELECT '{family}' AS family, count(*) AS n_train, CAST({candidates} AS BIGINT) AS n_candidates,"
@@ -305,6 +360,8 @@ MODEL_SQL = {
         f" rank FROM aucs JOIN (SELECT candidate, {RANK} AS rank FROM cv) ON candidate = CAST(model // 100 AS INT)",
         scaled_cte("native"), *cross_validation("native", GRID_C, 5, key_folds(5))),
     "fit_tree": tree_sql(),
+    "fit_gbt_small": small_boosting_sql(),
+    "gbt_rounds": round_losses_sql(),
     "grid_search_lr": grid_search_sql(),
     "grid_search_stratified": cv_sql(
         "exact", GRID_C, 5, folded=stratified_folds("z", 5, "WHERE fold <> 0"), with_max_iter=True),
