@@ -126,6 +126,48 @@ def stratified_sample(
     return parts.where(F.col("_part") == 0).drop("_part")
 
 
+def nested_samples(
+    df: DataFrame,
+    search_rows: int | None,
+    refit_rows: int | None,
+    folds: int,
+    key: Column,
+    ties: Sequence[str],
+    label: str = config.LABEL,
+    bracket_rows: int = BRACKET_ROWS,
+) -> DataFrame:
+    """Search sample with its folds, and refit sample, as ranges of one order: columns `fold` and `in_refit`.
+
+    Both samples hold the first rows of each class by hash key, in class proportion, so the
+    smaller one is part of the larger. The search sample is cut into equal runs, its folds;
+    rows outside have no fold. None takes all labelled rows. The table is ranked once.
+    """
+    plans = {}
+
+    def cuts(sizes):
+        total = sum(sizes.values())
+        searched, refitted = (sample_quotas(sizes, total if n is None else n) for n in (search_rows, refit_rows))
+        for name in sizes:
+            own = searched[name]
+            runs = [i * (own // folds) + min(i, own % folds) for i in range(folds + 1)]
+            bounds = sorted({b for b in (*runs, refitted[name]) if b > 0})
+            starts = [0, *bounds]
+            fold = [max(i for i in range(folds) if runs[i] <= s) if s < own else None for s in starts]
+            plans[name] = bounds, fold, [s < refitted[name] for s in starts]
+        return {name: bounds for name, (bounds, _, _) in plans.items()}
+
+    parts = rank_parts(df, label, key, ties, cuts, "_part", bracket_rows)
+
+    def read(which, kind):
+        found = [
+            F.when(F.col(label) == F.lit(name), F.get(F.array(*[F.lit(v).cast(kind) for v in plan[which]]), F.col("_part")))
+            for name, plan in plans.items()
+        ]
+        return F.coalesce(*found) if found else F.lit(None).cast(kind)
+
+    return parts.withColumns({"fold": read(1, "int"), "in_refit": F.coalesce(read(2, "boolean"), F.lit(False))}).drop("_part")
+
+
 def stratified_sample_hash(
     df: DataFrame,
     fractions: Mapping[int, float],

@@ -6,14 +6,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brightfold import config
 from brightfold.functions.expressions import row_hash
 from brightfold.operators import tuning
 from brightfold.operators.estimators import make_estimator, with_validation_flag
 from brightfold.operators.features import feature_stages
-from brightfold.operators.split import kfold, stratified_kfold, stratified_sample
+from brightfold.operators.split import kfold, nested_samples, stratified_kfold
 from brightfold.session import checkpoint_root, spread
 from brightfold.sources import models as model_files
 from brightfold.sources.results import SUMMARY_SCHEMA, write_csv, write_json
@@ -68,26 +68,22 @@ def train_all(
     if out is not None:
         model_files.save_overwriting(transform, model_files.feature_path(out, profile))
 
-    rows = train
-    if sampled and search_rows is not None:
-        rows = stratified_sample(train, search_rows, key(seed), ties)
-    if profile == "exact":
-        rows = stratified_kfold(rows, key(seed + 1), ties, folds)
-    else:
-        rows = kfold(rows, key(seed), folds)
-    refit = train if leak_free else None
     if sampled:
-        refit = train if refit_rows is None else stratified_sample(train, refit_rows, key(seed), ties)
-
-    def prepared(df, kept=(), scale=True):
-        vectors = transform.transform(df) if scale else df
-        flagged = with_validation_flag(vectors, key(seed + 2))
-        return flagged.select("label", "is_val", *kept, *(["features"] if scale else features))
+        rows = nested_samples(train, search_rows, refit_rows, folds, key(seed), ties)
+        rows = rows.where(F.col("fold").isNotNull() | F.col("in_refit"))
+    elif profile == "exact":
+        rows = stratified_kfold(train, key(seed + 1), ties, folds)
+    else:
+        rows = kfold(train, key(seed), folds)
 
-    data = prepared(spread(rows, partitions), ["fold"], not leak_free).persist(StorageLevel.MEMORY_AND_DISK)
-    refit_data = None
-    if refit is not None:
-        refit_data = prepared(spread(refit, partitions)).persist(StorageLevel.MEMORY_AND_DISK)
+    # One persisted frame serves search and refit: both are filters of it.
+    flagged = with_validation_flag(transform.transform(spread(rows, partitions)), key(seed + 2))
+    kept = ["label", "is_val", "fold", *(["in_refit"] if sampled else []), *(features if leak_free else []), "features"]
+    held = flagged.select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+    data = held.where(F.col("fold").isNotNull()) if sampled else held
+    refit_data = held.where("in_refit") if sampled else held if leak_free else None
+    if leak_free:
+        data = data.drop("features")
     results = {}
     try:
         for family in families:
@@ -110,9 +106,7 @@ def train_all(
                 write_csv(results[family].cv_results, f"{path}_cv_results")
                 write_csv(results[family].fold_scores, f"{path}_fold_scores")
     finally:
-        data.unpersist()
-        if refit_data is not None:
-            refit_data.unpersist()
+        held.unpersist()
     if out is not None:
         write_json(training_summary(spark, results), f"{out}/{profile}/training_summary")
     return results

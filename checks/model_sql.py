@@ -169,13 +169,22 @@ def stratified_folds(source, folds, where=""):
 RANK = "CAST(rank() OVER (ORDER BY mean_auc DESC NULLS LAST) AS INT)"
 
 
-def cv_sql(profile, candidates, folds, *ctes, folded, with_max_iter):
+def cv_sql(profile, candidates, folds, *ctes, folded, with_max_iter, refit_rows=None):
     extra = ", 2e2 AS max_iter" if with_max_iter else ""
     penalty = "C" if with_max_iter else "round(C, 8) AS C"
+    refits = ""
+    if refit_rows:
+        best = "(SELECT C FROM cv JOIN candidates USING (candidate) ORDER BY mean_auc DESC, candidate LIMIT 1)"
+        reg = f"1e0/({best} * (SELECT count(*) FROM all_rows))" if profile == "exact" else f"1e0/{best}"
+        after = [f"all_rows AS MATERIALIZED (SELECT 0 AS model, y, {XS} FROM {refit_rows})",
+                 f"best_reg AS MATERIALIZED (SELECT 0 AS model, {penalties(reg)})", *newton_ctes("all_rows", "best_reg", "refit")]
+        refits = "".join(f", (SELECT round(w{i}, 4) FROM refit) AS refit_{t}" for i, t in enumerate(["intercept", *FEATURES]))
+    else:
+        after = []
     return with_base(
         f"SELECT candidate, {penalty}{extra}, round(mean_auc, 4) AS mean_auc, round(std_auc, 4) AS std_auc,"
-        f" n_folds, {RANK} AS rank, true AS fit_timed FROM cv JOIN candidates USING (candidate)",
-        scaled_cte(profile), *ctes, *cross_validation(profile, candidates, folds, folded),
+        f" n_folds, {RANK} AS rank, true AS fit_timed{refits} FROM cv JOIN candidates USING (candidate)",
+        scaled_cte(profile), *ctes, *cross_validation(profile, candidates, folds, folded), *after,
     )
 
 
@@ -302,14 +311,14 @@ def tree_search_sql(family, candidates, folds=5):
     )
 
 
-def quota_ctes(source, size):
+def quota_ctes(source, size, name=""):
     return [
-        f"wanted AS (SELECT label, count(*) AS n, (SELECT count(*) FROM {source}) AS total,"
+        f"{name}wanted AS (SELECT label, count(*) AS n, (SELECT count(*) FROM {source}) AS total,"
         f" {size} AS size FROM {source} GROUP BY label)",
-        "floors AS (SELECT *, size * n // total AS low,"
-        " row_number() OVER (ORDER BY (size * n) % total DESC, label) AS turn FROM wanted)",
-        "quotas AS (SELECT label, low + CASE WHEN turn <= size - (SELECT sum(low) FROM floors)"
-        " THEN 1 ELSE 0 END AS quota FROM floors)",
+        f"{name}floors AS (SELECT *, size * n // total AS low,"
+        f" row_number() OVER (ORDER BY (size * n) % total DESC, label) AS turn FROM {name}wanted)",
+        f"{name}quotas AS (SELECT label, low + CASE WHEN turn <= size - (SELECT sum(low) FROM {name}floors)"
+        f" THEN 1 ELSE 0 END AS quota FROM {name}floors)",
     ]
 
 
@@ -367,13 +376,16 @@ MODEL_SQL = {
         "exact", GRID_C, 5, folded=stratified_folds("z", 5, "WHERE fold <> 0"), with_max_iter=True),
     "grid_search_rf": tree_search_sql("rf", 4),
     "grid_search_gbt": tree_search_sql("gbt", 8),
-    "search_lr": cv_sql("native", SEARCH_C, 5, folded=key_folds(5), with_max_iter=False),
+    "search_lr": cv_sql("native", SEARCH_C, 5, folded=key_folds(5), with_max_iter=False, refit_rows="folded"),
     "search_rf": tree_search_sql("rf", 10),
     "search_gbt": tree_search_sql("gbt", 10),
     "search_subsampled": cv_sql(
         "exact", SEARCH_C, 3, TRAIN_STRATA, *quota_ctes("strata", "(SELECT count(*) // 2 FROM strata)"),
-        "sampled AS (SELECT strata.* FROM strata JOIN quotas USING (label) WHERE rank0 < quota)",
-        folded=stratified_folds("sampled", 3), with_max_iter=False),
+        *quota_ctes("strata", "(SELECT count(*) * 3 // 4 FROM strata)", "refit_"),
+        "sampled AS (SELECT strata.* EXCLUDE (fold), quota FROM strata JOIN quotas USING (label) WHERE rank0 < quota)",
+        "refitted AS (SELECT strata.* FROM strata JOIN refit_quotas USING (label) WHERE rank0 < quota)",
+        folded=f"folded AS MATERIALIZED (SELECT label, y, {XS}, CAST(ntile(3) OVER (PARTITION BY label ORDER BY rank0) - 1 AS INT)"
+        " AS fold FROM sampled)", with_max_iter=False, refit_rows="refitted"),
     "leaderboard_lr": leaderboard_lr_sql(),
     "leaderboard": f"""SELECT framework, model, accuracy, roc_auc, true AS plausible FROM ({leaderboard_lr_sql()})
  UNION ALL SELECT framework, model, NULL, NULL, true FROM (VALUES ('native'), ('exact')) AS f(framework),

@@ -154,3 +154,19 @@ def test_samples_and_strata_keep_their_sizes_with_odd_keys(spark, make):
     assert split.stratified_sample(df, 20, key, ["id"]).count() == 20
     folded = split.stratified_kfold(df, key, ["id"], 5)
     assert sizes(folded, "fold") == {0: [15] * 5, 1: [5] * 5}
+
+
+@pytest.mark.parametrize("search_rows,refit_rows", [(40, 90), (90, 40), (None, 30), (30, None), (500, 500), (1, 2)])
+def test_nested_samples_are_ranges_of_one_order(spark, search_rows, refit_rows):
+    rows = [(i % 3 % 2, (i * 7919) % 101 % 13, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "label int, h int, id int").repartition(3)
+    got = split.nested_samples(df, search_rows, refit_rows, 3, F.col("h"), ["id"], bracket_rows=7).collect()
+    for c in (0, 1):
+        side = sorted((r for r in got if r["label"] == c), key=lambda r: (r["h"], r["id"]))
+        sizes = {0: sum(r[0] == 0 for r in rows), 1: sum(r[0] == 1 for r in rows)}
+        searched, refitted = (split.sample_quotas(sizes, 200 if n is None else n)[c] for n in (search_rows, refit_rows))
+        assert [r["in_refit"] for r in side] == [i < refitted for i in range(len(side))]
+        folds = [r["fold"] for r in side]
+        assert folds[searched:] == [None] * (len(side) - searched) and folds[:searched] == sorted(folds[:searched])
+        counts = [folds.count(f) for f in range(3)]
+        assert sum(counts) == searched and max(counts) - min(counts) <= 1
