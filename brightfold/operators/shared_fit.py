@@ -212,6 +212,20 @@ class Descent:
         return Fit(self.task, weights, float(intercept), self.loss, float(np.abs(self.gradient).max()), self.iterations)
 
 
+def gradient_at(data: RDD, moments: FoldMoments, task: Task, coefficients: np.ndarray, intercept: float) -> float:
+    """Largest component of the objective's gradient at a model, on features of unit deviation; one pass.
+
+    Small where a fit by any optimiser has converged.
+    """
+    descent = Descent(task, *moments.without(task.held_out))
+    weights = np.where(descent.live, coefficients, 0.0)
+    descent.trial = np.append(weights * descent.scale, intercept + weights @ descent.mean)
+    held_out = np.array([-1 if task.held_out is None else task.held_out], np.int32)
+    loss, by_weight, by_intercept = losses(data, held_out, weights[:, None], np.array([intercept]))
+    descent.take(float(loss[0]), by_weight[:, 0], float(by_intercept[0]))
+    return float(np.abs(descent.gradient).max())
+
+
 @dataclass
 class SharedFits:
     fits: list[Fit] = field(default_factory=list)

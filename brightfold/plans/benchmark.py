@@ -12,7 +12,7 @@ from brightfold.operators import timing
 from brightfold.functions.expressions import row_hash
 from brightfold.operators.estimators import make_estimator, with_validation_flag
 from brightfold.operators.features import feature_stages
-from brightfold.session import checkpoint_root, spread
+from brightfold.session import checkpoint_root, cores_in_use, spread
 from brightfold.sources.results import BENCHMARK_SCHEMA, write_csv
 
 
@@ -60,7 +60,7 @@ def _times(train, test, features, families, profile, partitions) -> list[tuple]:
             model, train_s = timing.timed_fit(make_estimator(family, settings), sides[0])
             predict_s = timing.timed_predict(model, sides[1])
             rows.append((
-                profile, config.DISPLAY_NAMES[family], train.sparkSession.sparkContext.defaultParallelism,
+                profile, config.DISPLAY_NAMES[family], cores_in_use(train.sparkSession),
                 round(train_s, 3), round(predict_s, 3),
             ))
     finally:

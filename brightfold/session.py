@@ -23,6 +23,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def cores_in_use(spark: SparkSession) -> int:
+    """Task slots of the running application, whatever `spark.default.parallelism` says.
+
+    A local master names them; on a cluster they are the executors there now times
+    `spark.executor.cores`, one each where that is unset.
+    """
+    context = spark.sparkContext
+    if local := re.fullmatch(r"local(?:\[(\*|\d+)(?:,\s*\d+)?\])?", context.master):
+        if local[1] == "*":
+            return int(context._jvm.java.lang.Runtime.getRuntime().availableProcessors())
+        return int(local[1] or 1)
+    if workers := re.fullmatch(r"local-cluster\[\s*(\d+)\s*,\s*(\d+)\s*,.*\]", context.master):
+        return int(workers[1]) * int(workers[2])
+    # The status names the driver as well.
+    executors = max(1, context._jsc.sc().getExecutorMemoryStatus().size() - 1)
+    return executors * int(context.getConf().get("spark.executor.cores", "1"))
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, at each call, for one written result."""
     return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -348,8 +348,8 @@ def leaderboard_lr_sql():
 
 
 MODEL_SQL = {
-    "fit_lr": with_base(TERMS, *single_fit("native")),
-    "fit_lr_exact": with_base(TERMS, *single_fit("exact")),
+    "fit_lr": with_base(f"SELECT *, true AS gradient_vanishes FROM ({TERMS})", *single_fit("native")),
+    "fit_lr_exact": with_base(f"SELECT *, true AS gradient_vanishes FROM ({TERMS})", *single_fit("exact")),
     "predict_batch": with_base(
         "SELECT label, CASE WHEN score > 5e-1 THEN 1e0 ELSE 0e0 END AS prediction, count(*) AS n_rows"
         " FROM test_scores GROUP BY 1, 2", *single_fit("native"), TEST_SCORES),
@@ -401,5 +401,5 @@ MODEL_SQL = {
     ])),
     "timing_row": with_base(
         "SELECT 'native' AS framework, 'Logistic Regression' AS model, count(*) FILTER (fold <> 0) AS n_train,"
-        " count(*) FILTER (fold = 0) AS n_test, true AS train_timed, true AS predict_timed FROM base"),
+        " count(*) FILTER (fold = 0) AS n_test, true AS train_timed, true AS predict_timed, true AS cores_known FROM base"),
 }
