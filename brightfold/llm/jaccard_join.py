@@ -25,16 +25,19 @@ different components is then joined on its shingles, counted, held against l and
 such pair has a member outside the shingle's largest component, so one side of the join
 is without that component and a group of near copies isn't paired with itself.
 
-Sketches. A set's sketch holds the parities of its shingles in 256 hashed cells. Two
+Sketches. A set's sketch holds the parities of its shingles in 2,048 hashed cells. Two
 sketches differ in at most as many cells as the sets do in shingles, and sets that link
 differ in a ninth of both sizes at most. So pairs whose sketches differ in more leave the
 joins before they are counted, and never reach their texts; no link is lost. Between
 sets too large for their cells the bound says nothing and the other conditions decide.
+The rounds of ties, which read a shingle's holders often, take the sketch folded to 256
+cells (parities of cells are sums of parities); the last join takes it whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,9 +55,10 @@ COUNTERS = 1 << 18
 MOST_MATCHES = 8
 VERIFY_PRICE = 0.25
 
-#: Cells of a sketch, in 64-bit parts.
-CELLS = 256
+#: Cells of a sketch and of a folded one, in 64-bit parts.
+CELLS, FOLDED = 2048, 256
 PARTS = [f"s{i}" for i in range(CELLS // 64)]
+FOLDED_PARTS = PARTS[: FOLDED // 64]
 
 SEEN = "row long, n int, high long, low long, counter int, df long, " + ", ".join(f"{p} long" for p in PARTS)
 
@@ -165,9 +169,16 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
-def _alike(x: str, y: str):
-    """What the sketches (row, n, parts) of two linked sets satisfy."""
-    differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARTS), F.lit(0))
+def _folded():
+    """The parities of every FOLDED-th cell together, as a sketch of FOLDED cells."""
+    step = len(FOLDED_PARTS)
+    fold = lambda i: reduce(lambda a, b: a.bitwiseXOR(b), map(F.col, PARTS[i::step]))
+    return F.struct("n", *[fold(i).alias(p) for i, p in enumerate(FOLDED_PARTS)])
+
+
+def _alike(x: str, y: str, parts=tuple(FOLDED_PARTS)):
+    """What the sketches (n, parts) of two linked sets satisfy."""
+    differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in parts), F.lit(0))
     return differ * 9 <= F.col(f"{x}.n") + F.col(f"{y}.n")
 
 
@@ -236,7 +247,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = postings.select("row").distinct().hint("merge")
     texts = bucketed(base.join(shared, "row", "left_semi"), "op3-texts", "row")
     sketches = written(
-        seen_sets.select("row", F.struct("n", *PARTS).alias("sketch")).join(shared, "row", "left_semi").distinct(), "op3-sketches")
+        seen_sets.select("row", F.struct("n", *PARTS).alias("whole"), _folded().alias("sketch"))
+        .join(shared, "row", "left_semi").dropDuplicates(["row", "whole"]), "op3-sketches")
+    folded, whole = sketches.select("row", "sketch").distinct(), sketches.select("row", "whole")
 
     holders = postings.groupBy("key").agg(
         F.min(F.struct("row", "spot")).alias("lo"), F.max(F.struct("row", "spot")).alias("hi")
@@ -249,9 +262,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).distinct()
     )
     ties = written(ties, "op3-first")
-    tied = _linked(ties, sketches, texts, "op3-ties")
+    tied = _linked(ties, folded, texts, "op3-ties")
     of = components(tied, "op3-stars")
-    tried, live = ties, written(_apart(postings, of).join(sketches, "row"), "op3-live")
+    tried, live = ties, written(_apart(postings, of).join(folded, "row"), "op3-live")
     while True:
         links = tied.select(F.col("a").alias("row")).union(tied.select("b")).groupBy("row").count()
         placed = live.join(links, "row", "left").withColumn("count", F.coalesce("count", F.lit(0)))
@@ -265,7 +278,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select(F.least("row", "to").alias("a"), F.greatest("row", "to").alias("b")).distinct()
         )
         nearest = written(nearest, "op3-hubs")
-        fresh = _linked(nearest, sketches, texts, "op3-ties")
+        fresh = _linked(nearest, folded, texts, "op3-ties")
         gained, asked = fresh.count(), nearest.count()
         if gained:
             of = components(of.select(F.col("row").alias("a"), F.col("component").alias("b")).union(fresh), "op3-stars")
@@ -276,10 +289,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     main = live.groupBy("key", "component").count().groupBy("key").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"))
-    split = written(live.join(main, "key"), "op3-apart")
+    split = written(live.drop("sketch").join(main, "key").join(whole, "row"), "op3-apart")
     minor = split.where("component <> main").select(
-        "key", F.col("row").alias("b"), F.col("spot").alias("sb"), F.col("component").alias("cb"), F.col("sketch").alias("kb"))
-    major = split.select("key", F.col("row").alias("a"), F.col("spot").alias("sa"), F.col("component").alias("ca"), F.col("sketch").alias("ka"),
+        "key", F.col("row").alias("b"), F.col("spot").alias("sb"), F.col("component").alias("cb"), F.col("whole").alias("kb"))
+    major = split.select("key", F.col("row").alias("a"), F.col("spot").alias("sa"), F.col("component").alias("ca"), F.col("whole").alias("ka"),
                          (F.col("component") != F.col("main")).alias("small"))
     a_smaller = (_size("sa") < _size("sb")) | ((_size("sa") == _size("sb")) & (F.col("a") < F.col("b")))
     counts = F.when(a_smaller, F.col("sa")).otherwise(F.col("sb")).bitwiseAND(1) == 1
@@ -289,12 +302,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     needed = F.greatest(F.least(la, lb), _ceil(4, 9, na, nb) - F.greatest(_ceil(8, 9, nb) - lb, _ceil(4, 5, na) - la))
     rest = (
         major.join(minor, (major["key"] == minor["key"]) & (F.col("ca") != F.col("cb"))
-                   & (~F.col("small") | (F.col("a") < F.col("b"))) & _fits("sa", "sb") & counts & _alike("ka", "kb"))
+                   & (~F.col("small") | (F.col("a") < F.col("b"))) & _fits("sa", "sb") & counts & _alike("ka", "kb", PARTS))
         .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .agg(F.count("*").alias("shared"), F.max(needed).alias("needed"))
         .where("shared >= needed").select("a", "b")
     )
-    more = _linked(rest, sketches, texts, "op3-rest")
+    more = _linked(rest, folded, texts, "op3-rest")
     several = ids.groupBy("row").agg(F.min("class_id").alias("b"), F.max("class_id").alias("top")).where("b <> top")
     alike = ids.join(several, "row").select(F.col("class_id").alias("a"), "b")
     final = components(

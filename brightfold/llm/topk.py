@@ -42,12 +42,18 @@ NODE = "entry int, part int, ids binary, vectors binary, member binary, page_at
 
 
 def integers(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, v): floor(scale * x) of every component; rows with a null id, vector, or component, or one not finite, go."""
+    """(id, v): floor(scale * x) of every component; rows with a null id, vector, or component, or one not finite, go.
+
+    A scaled component outside 64 bits is an error.
+    """
     x = F.col(vector_col)
     finite = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))), F.lit(False)))
+    scaled = lambda e: F.floor(F.when(
+        F.abs(F.lit(scale) * e.cast("double")) < F.lit(2.0**63), F.lit(scale) * e.cast("double")
+    ).otherwise(F.raise_error(F.lit("a scaled component leaves 64 bits")).cast("double")))
     return df.where(F.col(id_col).isNotNull() & x.isNotNull() & finite).select(
         F.col(id_col).cast("long").alias("id"),
-        F.transform(x, lambda e: F.floor(F.lit(scale) * e.cast("double"))).cast("array<long>").alias("v")).distinct()
+        F.transform(x, scaled).cast("array<long>").alias("v")).distinct()
 
 
 def _matrix(vectors, width: int, exact: bool) -> np.ndarray:
@@ -136,6 +142,8 @@ def search(node: dict, query: np.ndarray, query_id: int, k: int, floor_score, la
         score = (vectors.astype(np.float64) if exact else vectors.astype(object)) @ query
         for s, j in zip(score.tolist(), ids[rows].tolist()):
             s = int(s)
+            if not -(1 << 63) <= s < 1 << 63:
+                raise OverflowError("a score leaves 64 bits")
             if floor_score is not None and s < floor_score:
                 continue
             if len(best) < k:

@@ -319,3 +319,13 @@ def test_pipeline(spark, odd):
         assert stream.columns == odd.columns
     out = p.run(spark, SF)
     assert out.count() > 0 and out.select("doc_id").distinct().count() == out.count()
+
+
+def test_topk_beyond_64_bits(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for rows in ([(0, [1e17]), (1, [0.001]), (2, [0.002])], [(0, [1e12]), (1, [2e12])]):
+        with pytest.raises(Exception, match="64 bits"):
+            topk.top_k(frame(rows)).collect()
+    # Scores near the limit but inside it are exact.
+    got = topk.top_k(frame([(0, [1e9]), (1, [1000.0]), (2, [1000.0 + 2.0**-9])])).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(2, 1024 * 10**9 * 1024002), (1, 1024 * 10**9 * 1024000)]
