@@ -19,27 +19,45 @@ from brightfold.llm import decontaminate, jaccard_join, kd_shards, mixing, queri
 from brightfold.llm.common import written
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of docs has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def kept_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs, whatever characters their names hold."""
+    return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.with_score(docs, queries.table(spark, sf_dir, "labels"), "_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    score = free_name(docs, "_toxicity")
+    scored = toxicity.with_score(docs, queries.table(spark, sf_dir, "labels"), score)
+    return kept_columns(scored.where(F.col(score) < 0.5), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of a document that isn't its component's smallest go; of rows of one id, all stay or go."""
     later = jaccard_join.similar_groups(docs).where("NOT doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(later.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    same = F.col("d.doc_id").eqNullSafe(F.col("l.doc_id"))
+    return kept_columns(docs.alias("d").join(later.alias("l"), same, "left_anti"), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = decontaminate.copies(docs, queries.table(spark, sf_dir, "benchmark")).select(F.col("row").alias("_row")).distinct()
-    return docs.join(copies, F.xxhash64("doc_id", "text") == F.col("_row"), "left_anti")
+    copies = decontaminate.copies(docs, queries.table(spark, sf_dir, "benchmark")).select(F.col("row").alias("copy")).distinct()
+    same = F.xxhash64("d.doc_id", "d.text") == F.col("c.copy")
+    return kept_columns(docs.alias("d").join(copies.alias("c"), same, "left_anti"), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chosen = mixing.select(docs, queries.WEIGHTS, share=(3, 4), epochs=1, seed=42)
-    keys = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_l"), F.col("source").alias("_s")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
-    return docs.join(keys, same, "left_semi")
+    keys = chosen.select("doc_id", "lang", "source").distinct()
+    same = F.lit(True)
+    for c in keys.columns:
+        same = same & F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}"))
+    return kept_columns(docs.alias("d").join(keys.alias("k"), same, "left_semi"), docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
