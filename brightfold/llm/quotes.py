@@ -3,9 +3,11 @@
 Quote marks at a line's head give its level. Neighbouring lines of one level are a
 passage; a message's own text is its level 0. Normalised passages are hashed and joined
 to the hashes of messages' own texts (whole, or one line of them), first within the
-thread, among earlier messages, then anywhere. Originals collapse to one row for each
-thread and hash before they are joined, so a text that a third of the messages share
-adds no pairs. What a message answers is what its outermost passages quote.
+thread, among earlier messages, then in other threads. A passage is looked up whole, then
+line by line. Originals collapse to one row for each thread and hash, and to the two
+smallest threads of a hash, before they are joined, so a text that a third of the messages
+share adds no pairs; two, since one of them may be the thread of the message itself. What a
+message answers is what its outermost passages quote.
 
 Replies are followed to their root by doubling: each round a message takes over the
 distance of the message it has reached. Reply order is root, depth, then the message's
@@ -14,13 +16,13 @@ own place. Built-in DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brightfold.llm.common import written
 
 MARKS = r"^(?:[ \t]*>)+"
 #: Line that mail programs put above a quotation.
-INTRODUCTION = r"^On .{1,200} wrote:$"
+INTRODUCTION = r"^On .+ wrote:$"
 
 
 def normalised(text: Column) -> Column:
@@ -87,18 +89,21 @@ def linked(messages: DataFrame, thread: str = "conv_id", place: str = "turn", te
         F.array(_hash(F.col("own_text"))), F.transform("own", _hash)))).alias("hash")).where(
         "hash IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL")
     in_thread = wholes.groupBy("conv_id", "hash").agg(F.min("turn").alias("near_turn"))
-    anywhere = wholes.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("far"))
+    nth = F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))
+    anywhere = in_thread.withColumn("nth", nth).where("nth <= 2").groupBy("hash").agg(*[
+        F.max(F.when(F.col("nth") == i, F.struct("conv_id", F.col("near_turn").alias("turn")))).alias(name)
+        for i, name in ((1, "far"), (2, "next"))])
 
     passages = read.select("row", "conv_id", "turn", F.posexplode("runs").alias("nth", "run")).select(
-        "row", "conv_id", "turn", "nth", F.col("run.level").alias("level"), F.explode(F.array(
-            F.struct(F.lit(0).alias("part"), _hash(F.array_join("run.content", " ")).alias("hash")),
-            F.struct(F.lit(1).alias("part"), _hash(F.element_at("run.content", 1)).alias("hash")))).alias("key")).select(
+        "row", "conv_id", "turn", "nth", F.col("run.level").alias("level"), F.explode(F.concat(
+            F.array(F.struct(F.lit(0).alias("part"), _hash(F.array_join("run.content", " ")).alias("hash"))),
+            F.transform("run.content", lambda x, i: F.struct((i + 1).alias("part"), _hash(x).alias("hash"))))).alias("key")).select(
         "row", "conv_id", "turn", "nth", "level", "key.part", "key.hash").where("hash IS NOT NULL").distinct()
     near = passages.join(in_thread, ["conv_id", "hash"], "left").withColumn(
         "near_turn", F.when(F.col("near_turn") < F.col("turn"), F.col("near_turn")))
     hits = near.join(anywhere, "hash", "left").withColumn(
         "to", F.when(F.col("near_turn").isNotNull(), F.struct("conv_id", F.col("near_turn").alias("turn"))).when(
-            ~F.col("far.conv_id").eqNullSafe(F.col("conv_id")), F.col("far")))
+            ~F.col("far.conv_id").eqNullSafe(F.col("conv_id")), F.col("far")).otherwise(F.col("next")))
     best = hits.where("to IS NOT NULL").groupBy("row").agg(F.min_by("to", F.struct(
         "level", F.col("near_turn").isNull(), "nth", "part")).alias("to"))
     joined = written(read.join(best, "row", "left").select(

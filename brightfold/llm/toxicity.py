@@ -15,7 +15,7 @@ highest three (multiple-instance SVM). A logistic curve, fitted on documents kep
 that, turns a document's highest sentence into its score.
 
 The model is fitted on the driver from a bounded sample of labelled rows: SAMPLE documents
-of each class, chosen by a hash of the id among texts up to SAMPLE_BYTES. Scoring reads
+of each class, chosen by a hash of the id; those of texts over SAMPLE_BYTES bytes are left out of the fit. Scoring reads
 every whole text, a batch at a time; what a task holds is bounded but for one text.
 """
 
@@ -36,9 +36,8 @@ SPAN, DECAY = 6, 0.7
 TOXIC_LANDMARKS, PLAIN_LANDMARKS = 56, 8
 RIDGE = 0.1
 FOLDS = 5
-WORDS_KEPT, WORDS_AT_ONCE = 200_000, 50_000
-#: Characters of a word taken at once; longer ones are read in overlapping pieces.
-PIECE = 64
+#: Words a task remembers, reads at once, and their characters at once; none of these changes a score.
+WORDS_KEPT, WORDS_AT_ONCE, CHARACTERS_AT_ONCE = 200_000, 50_000, 400_000
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,6 +92,30 @@ class Kernel:
         return np.minimum(out / np.maximum(norm, 1e-9)[:, None], 1).astype(np.float32)
 
 
+def batched(words: list[str], characters: int) -> Iterator[list[str]]:
+    """Runs of whole words of about so many characters; a longer word is a run of its own."""
+    part, held = [], 0
+    for w in words:
+        if part and held + len(w) > characters:
+            yield part
+            part, held = [], 0
+        part.append(w)
+        held += len(w)
+    if part:
+        yield part
+
+
+def slices(words: list[bytes], size: int) -> Iterator[list[bytes]]:
+    """A text's words, so many at once; a run of single characters, which is read as one word, stays together."""
+    a = 0
+    while a < len(words):
+        b = min(len(words), a + size)
+        while b < len(words) and len(words[b].decode("utf-8", "replace")) == 1:
+            b += 1
+        yield words[a:b]
+        a = b
+
+
 class Reader:
     """Sentences of texts as rows of landmark similarities; remembers words."""
 
@@ -115,14 +138,7 @@ class Reader:
                 self.rows = np.concatenate([self.rows, np.zeros((more, self.rows.shape[1]), np.float32)])
                 self.ends, self.single = (np.append(x, np.zeros(more, bool)) for x in (self.ends, self.single))
             spelled = [w.decode("utf-8", "replace").lower() for w in fresh]
-            pieces, whose = [], []
-            for i, w in enumerate(spelled):
-                for a in range(0, max(1, len(w) - SPAN), PIECE):
-                    pieces.append(w[a : a + PIECE + SPAN])
-                    whose.append(i)
-            rows = self.kernel.of(pieces)
-            if len(pieces) > len(fresh):
-                rows = np.maximum.reduceat(rows, np.flatnonzero(np.diff(whose, prepend=-1)), axis=0)
+            rows = np.concatenate([self.kernel.of(part) for part in batched(spelled, CHARACTERS_AT_ONCE)])
             self.rows[known:size] = rows
             self.ends[known:size] = [w[-1:] in ".!?" for w in spelled]
             self.single[known:size] = [len(w) == 1 for w in spelled]
@@ -155,31 +171,45 @@ class Reader:
         return np.maximum.reduceat(self.rows[at], first, axis=0), np.flatnonzero(heads[first])
 
     def highest(self, texts: list[bytes], weights: np.ndarray) -> np.ndarray:
-        """Highest sentence of each text; 0 without words. A sentence over WORDS_AT_ONCE words counts as several."""
+        """Highest sentence of each text; 0 without words.
+
+        Short texts are read together, long ones in slices. A sentence that a slice's end
+        cuts goes on in the next one: its similarities so far are carried over.
+        """
         out = np.zeros(len(texts), np.float64)
-        seen = np.zeros(len(texts), bool)
         parts, owners, held = [], [], 0
 
         def flush():
             rows, first = self.sentences(parts)
-            top = np.maximum.reduceat(rows @ weights, first)
-            for i, value in zip(owners, top.tolist()):
-                out[i] = max(out[i], value) if seen[i] else value
-                seen[i] = True
+            out[owners] = np.maximum.reduceat(rows @ weights, first)
 
         for i, text in enumerate(texts):
             words = text.lower().split()
-            for a in range(0, len(words), WORDS_AT_ONCE):
-                parts.append(words[a : a + WORDS_AT_ONCE])
+            if len(words) > WORDS_AT_ONCE:
+                out[i] = self._highest_of_long(words, weights)
+            elif words:
+                parts.append(words)
                 owners.append(i)
-                held += len(parts[-1])
-                if held >= WORDS_AT_ONCE:
-                    flush()
-                    parts, owners, held = [], [], 0
+                held += len(words)
+            if held >= WORDS_AT_ONCE:
+                flush()
+                parts, owners, held = [], [], 0
         if parts:
             flush()
         return out
 
+    def _highest_of_long(self, words: list[bytes], weights: np.ndarray) -> float:
+        best, open_ = -np.inf, None
+        for part in slices(words, WORDS_AT_ONCE):
+            rows, _ = self.sentences([part])
+            if open_ is not None:
+                rows[0] = np.maximum(rows[0], open_)
+            ended = part[-1].decode("utf-8", "replace").lower()[-1:] in ".!?"
+            done, open_ = (rows, None) if ended else (rows[:-1], rows[-1])
+            if len(done):
+                best = max(best, float((done @ weights).max()))
+        return best if open_ is None else max(best, float(open_ @ weights))
+
 
 @dataclass
 class Model:

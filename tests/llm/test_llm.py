@@ -317,6 +317,12 @@ def test_pipeline(spark, odd):
     for name, stage in p.STAGES[:-1]:
         stream = stage(spark, stream, SF) if name != "toxicity" else stream
         assert stream.columns == odd.columns
+    names = ["_id", "_row", "_s", "_l", "_toxicity", "l", "k", "copy", "a.b", "score"]
+    clash = docs.where("doc_id < 60").select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for name, stage in p.STAGES[:-1]:
+        kept = stage(spark, clash, SF)
+        assert kept.columns == clash.columns and kept.count() > 0
+        assert {tuple(r) for r in kept.select(*[f"`{n}`" for n in names]).collect()} == {tuple(range(len(names)))}
     out = p.run(spark, SF)
     assert out.count() > 0 and out.select("doc_id").distinct().count() == out.count()
 
@@ -329,3 +335,50 @@ def test_topk_beyond_64_bits(spark):
     # Scores near the limit but inside it are exact.
     got = topk.top_k(frame([(0, [1e9]), (1, [1000.0]), (2, [1000.0 + 2.0**-9])])).collect()
     assert [(r.vec_id, r.score) for r in got] == [(2, 1024 * 10**9 * 1024002), (1, 1024 * 10**9 * 1024000)]
+
+
+def test_quotes_across_threads_and_lines(spark):
+    rows = [
+        ("a", 0, "> Shared words here\nmine"), ("a", 1, "Shared words here"), ("b", 4, "Shared words here"), ("c", 1, "Shared words here"),
+        ("b", 5, "> Shared words here\nlater"), ("d", 0, "> not known\n> Shared words here\nfirst"),
+        ("e", 0, "On " + "long " * 300 + "wrote:\n> Shared words here\nown"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, text string")
+    got = {(r.conv_id, r.turn): (r.parent_conv_id, r.parent_turn) for r in quotes.linked(df).collect()}
+    # Said only later in its own thread: the next thread that has it.
+    assert got["a", 0] == ("b", 4) and got["b", 5] == ("b", 4) and got["c", 1] == (None, None)
+    assert got["d", 0] == ("a", 1) and got["e", 0] == ("a", 1)
+    assert {r.own_text for r in quotes.linked(df).where("conv_id = 'e'").collect()} == {"own"}
+    long = spark.createDataFrame([("t", 0, "x " * 50_000), ("t", 1, "\n".join("> " * (i % 40 + 1) + f"line {i}" for i in range(1500)))],
+                                 "conv_id string, turn long, text string")
+    assert [r.quote_depth for r in quotes.linked(long).orderBy("turn").collect()] == [0, 40]
+
+
+def test_toxicity_scores_do_not_hang_on_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    bad = ["idiot", "nitwit", "blockhead", "scum"]
+    clean = [f"w{i % 37}x{i % 11} plain talk number{i % 5}." for i in range(400)]
+    texts = [f"{rng.choice(clean)} {rng.choice(clean)}" for _ in range(200)] + [f"{rng.choice(clean)} you {b} {c}" for b in bad for c in clean[:40]]
+    model = toxicity.fit([t.encode() for t in texts], [0] * 200 + [1] * 160, (0.5, 0.5))
+    long = [
+        " ".join(["plain words go on"] * 300 + ["idi-ot nitwt miro blckhead"] + ["and on and on"] * 300),
+        "a b c d e " * 50 + "s c u m m e r s " + "end. " * 200, "x" * 5000 + " idiot" + "y" * 3000, "b l o c k h e a d " * 40, "idiot", "", "é " * 999,
+    ]
+    whole = model.scores(toxicity.Reader(model.kernel), [t.encode() for t in long])
+    for words, characters in ((7, 10), (50, 1000), (1, 1)):
+        monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", words)
+        monkeypatch.setattr(toxicity, "CHARACTERS_AT_ONCE", characters)
+        np.testing.assert_allclose(model.scores(toxicity.Reader(model.kernel), [t.encode() for t in long]), whole, atol=1e-6)
+    # The kernel of a long word is that of its subsequences, whatever its length.
+    word = "".join(rng.choice(list("abc"), 300))
+    got, norm = np.zeros(len(model.kernel.landmarks)), 0.0
+    table = {int(c): model.kernel.table[i] for i, c in enumerate(model.kernel.codes)}
+    for i in range(len(word)):
+        for k in range(2, toxicity.SPAN):
+            for j in range(1, k):
+                if i + k < len(word):
+                    code = (ord(word[i]) << 42) | (ord(word[i + j]) << 21) | ord(word[i + k])
+                    weight = toxicity.DECAY ** (k + 1)
+                    norm += weight**2
+                    got += table.get(code, 0) * weight
+    np.testing.assert_allclose(model.kernel.of([word])[0], np.minimum(got / np.sqrt(norm), 1), rtol=1e-4)
