@@ -43,7 +43,7 @@ def settle(rule: str, keys, orders, rows, spots, state):
     by, group, first = _groups(keys, orders, rows, spots)
     o = orders[by]
     if rule == "shared":
-        last = np.append(first[1:], len(by)) - 1
+        last = np.append(first[1:], len(by))[: len(first)] - 1
         several = o[first] != o[last]
         if state is not None:
             several |= np.maximum.reduceat(state[by], first) == SPOKEN if len(first) else several

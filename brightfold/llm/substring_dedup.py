@@ -19,27 +19,35 @@ Verification. Documents that have such places return to their words; only the
 windows around those are named as a whole (13 words), and the smallest doc_id that has
 a window keeps it.
 
-Text moves between executors once, and the texts of documents with shared symbols a
-second time.
+Copies. Equal texts form a class (128-bit hash). The smallest id of a class has all its
+windows, so the others lose all their words, or none if they have no window; only the
+smallest goes through the rounds, and a symbol that merely copies share isn't shared.
+
+Text moves between executors once, of one document a class, into a table bucketed by row.
+Symbols are named in it, and places and repeats come to it, so it doesn't move again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from brightfold.llm.common import LAST_ID, Chunk, buckets_for, chunks, combine, grams, mix, written
+from brightfold.llm.common import LAST_ID, Chunk, bucketed, buckets_for, chunks, combine, grams, mix, written
 from brightfold.llm.packed import PACKED, by_row, covered, found, frames, pack
 
 WINDOW = 13
 #: Words a symbol of two rounds hangs on, at least.
 LEAST_CONTEXT = 5
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Rows a task remembers to send once.
+ROWS_SEEN = 1 << 18
 
 
 def _round(names: np.ndarray, at: np.ndarray, first: np.ndarray, salt: int):
@@ -101,8 +109,8 @@ def _symbols(buckets: int):
         for chunk in chunks(batches, lower=False):
             at, key = picked(chunk)
             owner = chunk.owner()[at]
-            order = np.array([r["row"] for r in chunk.rows], np.int64)[owner]
-            yield pack("shared", buckets, key, order, order, at - chunk.starts[owner])
+            row = np.array([r["row"] for r in chunk.rows], np.int64)[owner]
+            yield pack("shared", buckets, key, row, row, at - chunk.starts[owner])
 
     return lambda batches: (pa.RecordBatch.from_pandas(x, preserve_index=False) for x in frames(of(batches)))
 
@@ -113,30 +121,36 @@ def _kept(raw: bytes, gone: np.ndarray | None):
     return len(words), len(words) - len(left), left
 
 
-def _finished(row, order, raw, spots) -> tuple:
-    n = len(raw.split()) if spots is not None else 0
-    total, removed, left = _kept(raw, covered(spots, WINDOW, n) if spots is not None else None)
-    return order, total, removed, hashlib.sha256(b" ".join(left)).hexdigest()
+KNOWN = "row long, high long, low long, n_words long, short_sha256 string"
 
 
-DONE = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-MIDWAY = DONE + ", row long, text string, places array<int>"
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a row's class and a copy's result need: hash of the text, number of words, and the hash of the words of a short text."""
+    schema = pa.schema([("order", pa.int64()), ("row", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
+                        ("n_words", pa.int64()), ("short_sha256", pa.string())])
+    for batch in batches:
+        rows = []
+        for order, row, text in zip(*(batch.column(c).to_pylist() for c in ("order", "row", "text"))):
+            raw = (text or "").encode()
+            words, digest = raw.split(), xxhash.xxh3_128_digest(raw)
+            high, low = struct.unpack("<qq", digest)
+            short = hashlib.sha256(b" ".join(words)).hexdigest() if len(words) < WINDOW else None
+            rows.append((order, row, high, low, len(words), short))
+        yield pa.RecordBatch.from_pydict({n: [x[i] for x in rows] for i, n in enumerate(schema.names)}, schema=schema)
 
 
-def _midway(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Finish documents without shared symbols; hand the others on with the places."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("kept_sha256", pa.string()), ("row", pa.int64()), ("text", pa.string()),
-                        ("places", pa.list_(pa.int32()))])
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop rows a task has just seen, so that a row repeated for a third of the table moves some times a task at most."""
+    seen: set[int] = set()
     for batch in batches:
-        out = {name: [] for name in schema.names}
-        for r in batch.to_pylist():
-            raw = (r["text"] or "").encode()
-            done = (r["doc_id"], None, None, None) if r["spots"] else _finished(r["row"], r["doc_id"], raw, None)
-            rest = (r["row"], r["text"], r["spots"]) if r["spots"] else (None, None, None)
-            for name, value in zip(schema.names, done + rest):
-                out[name].append(value)
-        yield pa.RecordBatch.from_pydict(out, schema=schema)
+        new = []
+        for i, row in enumerate(batch.column("row").to_pylist()):
+            if row not in seen:
+                seen.add(row)
+                new.append(i)
+        if len(seen) > ROWS_SEEN:
+            seen.clear()
+        yield batch.take(pa.array(new, pa.int64()))
 
 
 def _windows(buckets: int):
@@ -160,16 +174,14 @@ def _windows(buckets: int):
 
 
 def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("kept_sha256", pa.string()), ("kept", pa.string())])
+    schema = pa.schema([("row", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
             raw = (r["text"] or "").encode()
-            gone = covered(r["spots"], WINDOW, len(raw.split()))
-            total, removed, left = _kept(raw, gone)
-            kept = b" ".join(left)
-            rows.append((r["doc_id"], total, removed, hashlib.sha256(kept).hexdigest(), kept.decode()))
+            gone = covered(r["spots"], WINDOW, len(raw.split())) if r["spots"] else None
+            _, removed, left = _kept(raw, gone)
+            rows.append((r["row"], removed, hashlib.sha256(b" ".join(left)).hexdigest()))
         yield pa.RecordBatch.from_pydict({n: [x[i] for x in rows] for i, n in enumerate(schema.names)}, schema=schema)
 
 
@@ -181,18 +193,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nothing. Rows of one id do not remove from each other; equal rows get equal results,
     each its own row. Other columns are ignored, whatever their names.
     """
-    buckets = buckets_for(docs, text_col)
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), order.alias("row"), F.col(text_col).alias("text"))
-    symbols = base.select("row", "text").mapInArrow(_symbols(buckets), PACKED)
-    places = by_row(found(symbols, "shared"))
-    midway = written(base.join(places, "row", "left").mapInArrow(_midway, MIDWAY), "op5-midway")
-    open_ = midway.where("places IS NOT NULL").select(
-        "doc_id", F.xxhash64("doc_id", "text").alias("row"), F.col("row").alias("order"), "text", "places"
-    )
-    repeats = found(open_.select("row", "order", "text", "places").mapInArrow(_windows(buckets), PACKED), "later_order")
-    ended = (
-        open_.select("doc_id", "row", "text").join(by_row(repeats), "row", "left")
-        .mapInArrow(_ending, DONE + ", kept string").drop("kept")
-    )
-    return midway.where("places IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(ended)
+    base = docs.select(order.alias("order"), F.xxhash64(order, F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
+    known = written(base.mapInArrow(_known, f"order long, {KNOWN}"), "op5-known")
+    heads = written(known.where(F.col("n_words") >= WINDOW).groupBy("high", "low").agg(
+        F.min(F.struct("order", "row")).alias("head")).select("head.row"), "op5-heads")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = bucketed(
+        base.mapInArrow(_once, "order long, row long, text string").repartition(partitions, "row").join(heads, "row", "left_semi"),
+        "op5-texts", "row")
+    buckets = buckets_for(texts, "text")
+    places = by_row(found(texts.select("row", "text").mapInArrow(_symbols(buckets), PACKED), "shared"))
+    open_ = texts.join(places.withColumnRenamed("spots", "places"), "row").select("row", "order", "text", "places")
+    repeats = by_row(found(open_.mapInArrow(_windows(buckets), PACKED), "later_order"))
+    ended = written(texts.select("row", "text").join(repeats, "row", "left").mapInArrow(
+        _ending, "row long, n_removed long, kept_sha256 string").dropDuplicates(["row"]), "op5-ended")
+    nothing = hashlib.sha256().hexdigest()
+    short = F.col("n_words") < WINDOW
+    return known.join(ended, "row", "left").select(
+        F.nullif(F.col("order"), F.lit(LAST_ID)).alias("doc_id"), "n_words",
+        F.when(short, F.lit(0).cast("long")).otherwise(F.coalesce("n_removed", "n_words")).alias("n_removed"),
+        F.when(short, F.col("short_sha256")).otherwise(F.coalesce("kept_sha256", F.lit(nothing))).alias("kept_sha256"))
