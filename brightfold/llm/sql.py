@@ -146,5 +146,30 @@ SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAS
        x.ends_sha256
 FROM nodes x JOIN subtree s ON s.d = x.d AND s.k = x.k LEFT JOIN kids y ON y.k = x.k
      LEFT JOIN nodes p ON x.d > 0 AND p.d = x.d - 1 AND p.k = x.k[1:x.d - 1]
+""",
+    "op3_jaccard_join": r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, CAST(len(w) AS BIGINT) - 3)]
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM docs)
+),
+sets AS MATERIALIZED (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS s FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+),
+links AS MATERIALIZED (
+    SELECT x, y FROM pairs JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+),
+ends AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT x, y FROM ends UNION SELECT r.x, b.y FROM reached r JOIN ends b ON b.x = r.y),
+least_of AS (SELECT x, min(y) AS y FROM reached GROUP BY x),
+classes AS (SELECT s, min(doc_id) AS class_id FROM sets GROUP BY s)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id,
+       coalesce(class_id, d.doc_id) AS class_id
+FROM documents d LEFT JOIN sets USING (doc_id) LEFT JOIN least_of ON x = d.doc_id LEFT JOIN classes USING (s)
 """,
 }
