@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from brightfold import config
 from brightfold.functions.expressions import as_label, is_missing
+from brightfold.session import workspace
 
 NULL_POLICIES = ("error", "skip", "keep")
 
@@ -59,6 +60,23 @@ def label_rejects(df: DataFrame, label: str = config.LABEL) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.count_if(~valid).alias("n_rejected"))
 
 
+def load_counted(
+    spark: SparkSession, read: Callable[[SparkSession], DataFrame], label: str = config.LABEL, path: str | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """Store a table as Parquet and count it in the same pass: the stored table, and n_rows and n_rejected.
+
+    `read` builds the table in the session it is given. That is one of its own, over the same
+    application: a session that has observed metrics can't be sent to tasks, which the
+    training summary of a fitted logistic regression would try. The counts are those of the
+    write that succeeded; tasks run again don't count twice.
+    """
+    path = path or workspace(spark, "loaded")
+    counted, df = Observation(), read(spark.newSession())
+    valid = F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    df.observe(counted, F.count(F.lit(1)).alias("n_rows"), F.count_if(~valid).alias("n_rejected")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), counted.get
+
+
 def read_labelled_csv(
     spark: SparkSession,
     path: str,

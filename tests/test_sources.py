@@ -70,3 +70,20 @@ def test_no_saved_models_give_an_empty_typed_table(spark, tmp_path):
     assert load_saved(str(tmp_path / "none")) == {}
     empty = evaluate_saved(spark.createDataFrame([(0,)], "label int"), str(tmp_path / "none"))
     assert empty.schema == results.EVALUATION_SCHEMA and empty.count() == 0
+
+
+def test_rows_are_counted_while_they_are_stored(spark, sf_dir, tmp_path):
+    from brightfold.operators.features import assemble
+    from brightfold.operators.estimators import make_estimator
+    from brightfold.plans.inputs import FEATURES, base
+
+    table, counted = tables.load_counted(spark, lambda session: base(session, sf_dir))
+    assert counted == {"n_rows": 6000, "n_rejected": 0} and table.dtypes == base(spark, sf_dir).dtypes
+    assert table.exceptAll(base(spark, sf_dir)).isEmpty() and table.sparkSession is spark
+    # Nothing observed stays with the session: a fitted regression can still be sent to tasks.
+    rows = assemble(table, FEATURES, "features")
+    assert make_estimator("lr", maxIter=3).fit(rows).transform(rows).where("prediction = 1").count() > 0
+    odd = [(1, 0.5), (2, 0.5), (None, 0.5)]
+    _, counted = tables.load_counted(
+        spark, lambda session: session.createDataFrame(odd, "label int, x double"), path=str(tmp_path / "odd"))
+    assert counted == {"n_rows": 3, "n_rejected": 2}
