@@ -25,7 +25,7 @@ different components is then joined on its shingles, counted, held against l and
 such pair has a member outside the shingle's largest component, so one side of the join
 is without that component and a group of near copies isn't paired with itself.
 
-Sketches. A set's sketch holds the parities of its shingles in 2,048 hashed cells. Two
+Sketches. A set's sketch holds the parities of its shingles in 1,024 hashed cells. Two
 sketches differ in at most as many cells as the sets do in shingles, and sets that link
 differ in a ninth of both sizes at most. So pairs whose sketches differ in more leave the
 joins before they are counted, and never reach their texts; no link is lost. Between
@@ -56,11 +56,12 @@ MOST_MATCHES = 8
 VERIFY_PRICE = 0.25
 
 #: Cells of a sketch and of a folded one, in 64-bit parts.
-CELLS, FOLDED = 2048, 256
+CELLS, FOLDED = 1024, 256
 PARTS = [f"s{i}" for i in range(CELLS // 64)]
 FOLDED_PARTS = PARTS[: FOLDED // 64]
 
-SEEN = "row long, n int, high long, low long, counter int, df long, " + ", ".join(f"{p} long" for p in PARTS)
+SKETCH = "struct<n: int, " + ", ".join(f"{p}: long" for p in PARTS) + ">"
+SEEN = "row long, n int, high long, low long, counter int, df long, whole " + SKETCH
 
 
 def shingle_sets(chunk: Chunk) -> list[np.ndarray]:
@@ -92,25 +93,27 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, 128-bit hash and sketch of every document's set; and the counters of all shingles met."""
     counts = np.zeros(COUNTERS, np.int64)
+    names = ["row", "n", "high", "low", "counter", "df", "whole"]
     for chunk in chunks(batches, lower=True):
         sets = shingle_sets(chunk)
         if sum(map(len, sets)):
             counts += np.bincount(np.concatenate(sets) % np.uint64(COUNTERS), minlength=COUNTERS)
         digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-        signed = lambda v: np.array(v, np.uint64).view(np.int64)
-        parts = np.array([sketch(s) for s in sets]).T
-        yield pa.RecordBatch.from_pandas(pd.DataFrame({
-            "row": np.array([r["row"] for r in chunk.rows], np.int64), "n": np.array(list(map(len, sets)), np.int32),
-            "high": signed([d >> 64 for d in digests]), "low": signed([d & (2**64 - 1) for d in digests]),
-            "counter": np.full(len(sets), -1, np.int32), "df": np.zeros(len(sets), np.int64), **dict(zip(PARTS, parts)),
-        }), preserve_index=False)
+        signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
+        parts = np.array([sketch(s) for s in sets]).reshape(len(sets), len(PARTS)).T
+        n = pa.array(np.array(list(map(len, sets)), np.int32))
+        whole = pa.StructArray.from_arrays([n, *[pa.array(np.ascontiguousarray(p)) for p in parts]], ["n", *PARTS])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.array([r["row"] for r in chunk.rows], np.int64)), n, signed([d >> 64 for d in digests]),
+            signed([d & (2**64 - 1) for d in digests]), pa.array(np.full(len(sets), -1, np.int32)),
+            pa.array(np.zeros(len(sets), np.int64)), whole], names)
     at = np.flatnonzero(counts)
-    zero = np.zeros(len(at), np.int64)
-    yield pa.RecordBatch.from_pandas(pd.DataFrame({
-        "row": zero, "n": zero.astype(np.int32), "high": zero, "low": zero,
-        "counter": at.astype(np.int32), "df": counts[at], **{p: zero for p in PARTS},
-    }), preserve_index=False)
+    zero = pa.array(np.zeros(len(at), np.int64))
+    none = pa.nulls(len(at), pa.struct([("n", pa.int32()), *[(p, pa.int64()) for p in PARTS]]))
+    yield pa.RecordBatch.from_arrays(
+        [zero, zero.cast(pa.int32()), zero, zero, pa.array(at.astype(np.int32)), pa.array(counts[at]), none], names)
 
 
 def prefix(shingles: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,8 +175,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _folded():
     """The parities of every FOLDED-th cell together, as a sketch of FOLDED cells."""
     step = len(FOLDED_PARTS)
-    fold = lambda i: reduce(lambda a, b: a.bitwiseXOR(b), map(F.col, PARTS[i::step]))
-    return F.struct("n", *[fold(i).alias(p) for i, p in enumerate(FOLDED_PARTS)])
+    fold = lambda i: reduce(lambda a, b: a.bitwiseXOR(b), [F.col(f"whole.{p}") for p in PARTS[i::step]])
+    return F.struct("whole.n", *[fold(i).alias(p) for i, p in enumerate(FOLDED_PARTS)])
 
 
 def _alike(x: str, y: str, parts=tuple(FOLDED_PARTS)):
@@ -214,7 +217,7 @@ def _apart(postings: DataFrame, of: DataFrame) -> DataFrame:
     """Postings of shingles that documents of several components hold; components only merge, so the rest is settled."""
     placed = postings.join(of, "row", "left").withColumn("component", F.coalesce("component", "row"))
     keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return placed.join(keys.select("key"), "key", "left_semi")
+    return placed.join(keys.select("key").hint("merge"), "key", "left_semi")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,7 +250,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = postings.select("row").distinct().hint("merge")
     texts = bucketed(base.join(shared, "row", "left_semi"), "op3-texts", "row")
     sketches = written(
-        seen_sets.select("row", F.struct("n", *PARTS).alias("whole"), _folded().alias("sketch"))
+        seen_sets.select("row", "whole", _folded().alias("sketch"))
         .join(shared, "row", "left_semi").dropDuplicates(["row", "whole"]), "op3-sketches")
     folded, whole = sketches.select("row", "sketch").distinct(), sketches.select("row", "whole")
 
@@ -264,7 +267,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ties = written(ties, "op3-first")
     tied = _linked(ties, folded, texts, "op3-ties")
     of = components(tied, "op3-stars")
-    tried, live = ties, written(_apart(postings, of).join(folded, "row"), "op3-live")
+    # Bucketed by shingle: the rounds read each shingle's holders where they are.
+    tried, live = ties, bucketed(_apart(postings.join(folded, "row"), of), "op3-live", "key")
     while True:
         links = tied.select(F.col("a").alias("row")).union(tied.select("b")).groupBy("row").count()
         placed = live.join(links, "row", "left").withColumn("count", F.coalesce("count", F.lit(0)))
@@ -282,7 +286,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         gained, asked = fresh.count(), nearest.count()
         if gained:
             of = components(of.select(F.col("row").alias("a"), F.col("component").alias("b")).union(fresh), "op3-stars")
-            live = written(_apart(live.drop("component"), of), "op3-live")
+            live = bucketed(_apart(live.drop("component"), of), "op3-live", "key")
         if gained * 20 < asked or not asked:
             break
         tied, tried = written(tied.union(fresh), "op3-ties"), written(tried.union(nearest), "op3-tried")
