@@ -9,8 +9,8 @@ smallest threads of a hash, before they are joined, so a text that a third of th
 share adds no pairs; two, since one of them may be the thread of the message itself. What a
 message answers is what its outermost passages quote.
 
-Replies are followed to their root by doubling: each round a message takes over the
-distance of the message it has reached. Reply order is root, depth, then the message's
+Replies are followed to their root by doubling: each round a message that isn't there yet
+takes over the distance of the message it has reached. Reply order is root, depth, then the message's
 own place. Built-in DataFrame functions only.
 """
 
@@ -114,16 +114,17 @@ def linked(messages: DataFrame, thread: str = "conv_id", place: str = "turn", te
     step = joined.where("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.min(
         F.when(F.col("parent_conv_id") == F.col("conv_id"), F.col("parent_turn"))).alias("up"))
     step = written(step.select("conv_id", "turn", F.coalesce("up", "turn").alias("up"),
-                               F.col("up").isNotNull().cast("int").alias("depth")), "op8-step")
-    while True:
-        above = step.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"))
-        step = written(step.join(above, ["conv_id", "up"]).select(
-            "conv_id", "turn", F.col("top").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
-            (F.col("more") > 0).alias("moved")), "op8-step")
-        if step.where("moved").isEmpty():
-            break
-        step = step.drop("moved")
-    roots = step.select("conv_id", "turn", F.col("up").alias("root_turn"), "depth")
+                               F.col("up").isNotNull().cast("int").alias("depth"), F.col("up").isNull().alias("done")), "op8-step")
+    # Only messages that haven't reached their root go into the next round.
+    roots, open_ = step.where("done"), step.where("NOT done")
+    while not open_.isEmpty():
+        above = roots.unionByName(open_).select(
+            "conv_id", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"), F.col("done").alias("last"))
+        moved = written(open_.join(above, ["conv_id", "up"]).select(
+            "conv_id", "turn", F.col("top").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("last").alias("done")),
+            "op8-step")
+        roots, open_ = roots.unionByName(moved.where("done")), moved.where("NOT done")
+    roots = roots.select("conv_id", "turn", F.col("up").alias("root_turn"), "depth")
     return joined.join(roots, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "own_text", "n_quoted", "quote_depth", "parent_conv_id", "parent_turn", "root_turn",
         F.coalesce("depth", F.lit(0)).alias("depth"))

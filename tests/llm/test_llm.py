@@ -382,3 +382,9 @@ def test_toxicity_scores_do_not_hang_on_slices(monkeypatch):
                     norm += weight**2
                     got += table.get(code, 0) * weight
     np.testing.assert_allclose(model.kernel.of([word])[0], np.minimum(got / np.sqrt(norm), 1), rtol=1e-4)
+
+
+def test_long_reply_chains(spark):
+    rows = [("t", i, (f"> line {i - 1}\n" if i else "") + f"line {i}") for i in range(70)] + [("u", 0, "alone"), ("v", 3, "> alone\nx"), ("v", 4, "> x\ny")]
+    got = {(r.conv_id, r.turn): (r.root_turn, r.depth) for r in quotes.linked(spark.createDataFrame(rows, "conv_id string, turn long, text string")).collect()}
+    assert all(got["t", i] == (0, i) for i in range(70)) and got["u", 0] == (0, 0) and got["v", 3] == (3, 0) and got["v", 4] == (3, 1)
