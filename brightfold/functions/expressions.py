@@ -21,10 +21,6 @@ def is_missing(value: Column) -> Column:
     return value.isNull() | F.isnan(value)
 
 
-def finite_or_null(value: Column) -> Column:
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
-
-
 def as_label(value: Column) -> Column:
     """Truncating cast to int; values with no int become NULL instead of failing."""
     return value.try_cast("int")
@@ -55,10 +51,3 @@ def key_hash(columns: Sequence[str], seed: int = 0) -> Column:
 def row_hash(columns: Sequence[str], seed: int = 0) -> Column:
     """Hash of whole rows in [0, HASH_MODULUS), for tables without integer keys."""
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(HASH_MODULUS))
-
-
-def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Index of the equal-width bin, last bin closed; a constant range sits mid-scale."""
-    constant = F.lit(bins // 2)
-    position = F.floor((value - low) * F.lit(float(bins)) / (high - low))
-    return F.when(high == low, constant).otherwise(F.least(F.lit(bins - 1), position)).cast("int")

@@ -104,8 +104,3 @@ def choose_split(df: DataFrame, split: str = "train", fold: str = "fold") -> Dat
     """Fold 0 is the test side; any name but "train" means test."""
     held_out = F.col(fold) == 0
     return df.where(~held_out if split == "train" else held_out)
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("n_rows"))
-
