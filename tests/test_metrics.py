@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from brightfold.operators import metrics, report, timing
 from brightfold.operators.tuning import best_candidate, mean_scores
@@ -94,3 +95,27 @@ def test_speedup(spark):
     assert found["rf", 2]["train_speedup"] is None
     ordered = timing.series(spark.createDataFrame(rows[::-1], BENCHMARK_SCHEMA), "native").collect()
     assert [(r["model"], r["n_cores"]) for r in ordered] == [("lr", 1), ("lr", 4), ("rf", 2)]
+
+
+def test_bounds_from_a_share_of_the_rows_change_no_result(spark, monkeypatch):
+    rows = spark.range(20_000, numPartitions=7).selectExpr(
+        "cast(id % 3 as int) g", "cast(id * 7 % 5 < 2 as int) label", "(id * 7919 % 9973) / 9973 as score")
+    exact = {r["g"]: r["roc_auc"] for r in metrics.roc_auc(rows, ["g"], bounds=[]).collect()}
+    monkeypatch.setattr(metrics, "BOUNDED_ROWS", 2_000)
+    monkeypatch.setattr(metrics, "SCORES_A_BOUND", 50)
+    monkeypatch.setattr(metrics, "ROWS_A_RANGE", 200)
+    assert metrics.bounding_share(20_000, metrics.range_count(spark, 20_000)) < 0.5
+    bounds = metrics.score_bounds(rows)
+    assert len(bounds) == metrics.range_count(spark, 20_000) - 1 == 100
+    found = metrics.roc_auc(rows, ["g"], bounds=bounds)
+    assert {r["g"]: r["roc_auc"] for r in found.collect()} == pytest.approx(exact, abs=1e-12)
+    sizes = rows.groupBy(sum((F.col("score") >= b).cast("int") for b in bounds)).count().toPandas()["count"]
+    assert len(sizes) == 101 and sizes.max() < 4 * 200
+
+
+def test_many_ranges_are_ranked_in_as_many_partitions(spark):
+    rows = spark.range(5_000).selectExpr("cast(id % 2 as int) label", "id / 5000 as score")
+    bounds = [i / 300 for i in range(1, 300)]
+    plan = metrics.roc_auc(rows, bounds=bounds)._jdf.queryExecution().executedPlan().toString()
+    assert any("Exchange" in line and "300)" in line and "_range" in line for line in plan.splitlines())
+    assert metrics.roc_auc(rows, bounds=bounds).head()["roc_auc"] == metrics.roc_auc(rows, bounds=[]).head()["roc_auc"]

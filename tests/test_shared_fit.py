@@ -142,3 +142,34 @@ def test_scans_grow_with_iterations_not_with_candidates_or_folds(tmp_path):
     # One stage reads the blocks in each pass, for 2 fits as for 60.
     assert few_scans == few and many_scans == many
     assert many <= few + 10 and many < 40
+
+
+def test_pass_equals_the_plain_formulas():
+    """Loss and gradients of one pass, over blocks of mixed folds, far margins and several products."""
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(1500, 3)), rng.integers(0, 2, 1500).astype(float)
+    f = np.sort(rng.integers(0, 3, 1500)).astype(np.int32)
+    x[:4] = [[800, 0, 0], [-800, 0, 0], [0, 40, 0], [0, -40, 0]]
+    folds, w, b = np.array([0, 1, -1, 0], np.int32), rng.normal(size=(3, 4)), rng.normal(size=4)
+
+    class Sent:
+        value = folds, w, b
+
+        def unpersist(self):
+            pass
+
+    class Blocks:
+        context = type("Context", (), {"broadcast": lambda self, value: Sent()})()
+
+        def treeAggregate(self, zero, add, _):
+            total = add(zero, (x[:900].tobytes(), y[:900].tobytes(), f[:900].tobytes()))
+            return add(total, (x[900:].tobytes(), y[900:].tobytes(), f[900:].tobytes()))
+
+    loss, by_weight, by_intercept = shared_fit.losses(Blocks(), folds, w, b)
+    margin = x @ w + b
+    inside = f[:, None] != folds
+    rest = np.where(inside, 0.5 * (1 + np.tanh(margin / 2)) - y[:, None], 0.0)
+    plain = np.where(inside, np.logaddexp(0.0, margin) - y[:, None] * margin, 0.0).sum(axis=0)
+    np.testing.assert_allclose(loss, plain, rtol=1e-12)
+    np.testing.assert_allclose(by_weight, x.T @ rest, rtol=1e-9, atol=1e-9)
+    np.testing.assert_allclose(by_intercept, rest.sum(axis=0), rtol=1e-9, atol=1e-9)
