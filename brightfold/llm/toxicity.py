@@ -119,8 +119,8 @@ def slices(words: list[bytes], size: int) -> Iterator[list[bytes]]:
 class Reader:
     """Sentences of texts as rows of landmark similarities; remembers words."""
 
-    def __init__(self, kernel: Kernel):
-        self.kernel = kernel
+    def __init__(self, kernel: Kernel, kept: int = WORDS_KEPT):
+        self.kernel, self.kept = kernel, kept
         self.clear()
 
     def clear(self):
@@ -146,7 +146,7 @@ class Reader:
 
     def sentences(self, parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Similarity rows of the sentences of some lists of words, and the first row of each list."""
-        if len(self.number) > WORDS_KEPT:
+        if len(self.number) > self.kept:
             self.clear()
         words = [w for part in parts for w in part]
         at = self._numbers(words)
@@ -252,28 +252,36 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray):
     return max(b[0], 1e-3), b[1]
 
 
-def _landmarks(bags: list[list[bytes]], y: np.ndarray) -> list[str]:
-    """Words most tied to toxic documents, then the most frequent others; near copies count once."""
-    groups: dict[tuple, int] = {}
-    has: dict[bytes, list[set]] = defaultdict(lambda: [set(), set()])
-    for words, label in zip(bags, y):
-        hashes = [xxhash.xxh64_intdigest(w) for w in words]
-        sketch = (min(hashes, default=0), max(hashes, default=0))
-        group = groups.setdefault(sketch, len(groups))
-        for w in words:
-            if 3 <= len(w.decode("utf-8", "replace")) <= 40:
-                has[w][label].add(group)
+def _landmarks(texts: list[bytes], y: np.ndarray) -> list[str]:
+    """Words most tied to toxic documents, then the most frequent others; near copies count once.
+
+    Words of one text at a time are held, and for each word two numbers: near copies are
+    brought together first.
+    """
+    groups: dict[tuple, list[int]] = defaultdict(list)
+    for i, text in enumerate(texts):
+        hashes = [xxhash.xxh64_intdigest(w) for w in set(text.lower().split())]
+        groups[min(hashes, default=0), max(hashes, default=0)].append(i)
+    counts: tuple[Counter, Counter] = Counter(), Counter()
+    for copies in groups.values():
+        for label in (0, 1):
+            words = set()
+            for i in copies:
+                if y[i] == label:
+                    words.update(texts[i].lower().split())
+            counts[label].update(w for w in words if 3 <= len(w.decode("utf-8", "replace")) <= 40)
+    has = {w: (counts[0][w], counts[1][w]) for w in counts[0].keys() | counts[1].keys()}
     total = np.array([max(1, (y == 0).sum()), max(1, (y == 1).sum())], float)
     rated = []
-    for w, (clean, toxic) in has.items():
-        c, t = len(clean), len(toxic)
+    for w, (c, t) in has.items():
         if t >= 3 and t / total[1] > c / total[0]:
             e = (c + t) * total[1] / total.sum()
             rated.append((t * np.log(t / e) + (c * np.log(c / ((c + t) * total[0] / total.sum())) if c else 0), w))
     rated.sort(reverse=True)
     chosen = [w.decode("utf-8", "replace").lower() for _, w in rated[:TOXIC_LANDMARKS]]
-    often = Counter({w: len(c) for w, (c, _) in has.items()})
-    for w, _ in sorted(often.items(), key=lambda x: (-x[1], x[0])):
+    often = sorted(has)
+    often.sort(key=lambda w: -has[w][0])
+    for w in often:
         if len(chosen) >= TOXIC_LANDMARKS + PLAIN_LANDMARKS:
             break
         if (name := w.decode("utf-8", "replace").lower()) not in chosen:
@@ -288,13 +296,14 @@ def fit(texts: list[bytes], labels: list[int], shares: tuple[float, float]) -> M
     if not ((y == 1) & late).any() or not ((y == 0) & late).any() or not ((y == 1) & ~late).any():
         late[:] = False
     early = ~late
-    kernel = Kernel(_landmarks([sorted(set(t.lower().split())) for t, e in zip(texts, early) if e], y[early]))
+    kernel = Kernel(_landmarks([t for t, e in zip(texts, early) if e], y[early]))
     gram = kernel.of(kernel.landmarks).astype(float)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     spread = vectors / np.sqrt(np.maximum(values, 0) + RIDGE)
-    reader = Reader(kernel)
+    reader = Reader(kernel, WORDS_KEPT // 4)
     nothing = np.zeros((1, len(kernel.landmarks)), np.float32)
     bags = [reader.sentences([t.lower().split()])[0] if t.split() else nothing for t in texts]
+    del reader
     first = np.array([1.0 if i < min(TOXIC_LANDMARKS, len(kernel.landmarks) - 1) else 0.0 for i in range(len(kernel.landmarks))])
     weights, bias = first, 0.0
     for turn in range(6):
@@ -334,6 +343,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     seen: dict[bytes, int] = {}
     for r in rows:
         seen.setdefault(r["text"].encode(), int(r["toxic"]))
+    del rows
     if len(set(seen.values())) < 2:
         raise ValueError("labelled documents of both classes are needed")
     total = counts[0] + counts[1]

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -388,3 +389,19 @@ def test_long_reply_chains(spark):
     rows = [("t", i, (f"> line {i - 1}\n" if i else "") + f"line {i}") for i in range(70)] + [("u", 0, "alone"), ("v", 3, "> alone\nx"), ("v", 4, "> x\ny")]
     got = {(r.conv_id, r.turn): (r.root_turn, r.depth) for r in quotes.linked(spark.createDataFrame(rows, "conv_id string, turn long, text string")).collect()}
     assert all(got["t", i] == (0, i) for i in range(70)) and got["u", 0] == (0, 0) and got["v", 3] == (3, 0) and got["v", 4] == (3, 1)
+
+
+def test_toxicity_fit_holds_words_of_one_text_at_a_time():
+    """Peak memory of a fit stays a small multiple of its texts."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(1500):
+        words = [b"w%d" % w for w in rng.integers(0, 3000, 300)] + [b"%x" % w for w in rng.integers(0, 1 << 40, 3)]
+        texts.append(b" ".join([*words, b"idiot%d." % (i % 4)] if i % 3 == 0 else words))
+    tracemalloc.start()
+    try:
+        toxicity.fit(texts, [int(i % 3 == 0) for i in range(1500)], (0.7, 0.3))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * sum(map(len, texts))
