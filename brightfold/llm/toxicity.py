@@ -38,6 +38,8 @@ RIDGE = 0.1
 FOLDS = 5
 #: Words a task remembers, reads at once, and their characters at once; none of these changes a score.
 WORDS_KEPT, WORDS_AT_ONCE, CHARACTERS_AT_ONCE = 200_000, 50_000, 400_000
+#: Words whose sums are built together, few enough for the cache; words of more hits are summed by themselves.
+WORDS_TOGETHER, HITS_TOGETHER = 1_000, 256
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,11 +86,32 @@ class Kernel:
         near, at = near[hit], at[hit]
         by = np.argsort(owner[near], kind="stable")
         near, at = near[by], at[by]
-        who = owner[near]
-        for a in range(0, len(near), 200_000):
-            b = min(len(near), a + 200_000)
-            cut = np.flatnonzero(np.diff(who[a:b], prepend=-1))
-            out[who[a:b][cut]] += np.add.reduceat(self.table[at[a:b]] * weight[near[a:b], None], cut)
+        first = np.flatnonzero(np.diff(owner[near], prepend=-1))
+        hits = np.diff(first, append=len(near))
+        long = hits > HITS_TOGETHER
+        if long.any():
+            inside = np.flatnonzero(np.repeat(long, hits))
+            for a in range(0, len(inside), 200_000):
+                some = inside[a : a + 200_000]
+                who = owner[near[some]]
+                cut = np.flatnonzero(np.diff(who, prepend=-1))
+                out[who[cut]] += np.add.reduceat(self.table[at[some]] * weight[near[some], None], cut)
+            first, hits = first[~long], hits[~long]
+        # Words of most hits first: the k-th hits of all words that have so many are added at once.
+        order = np.argsort(-hits, kind="stable")
+        first, hits = first[order], hits[order]
+        sums = np.zeros((len(first), len(self.landmarks)), np.float32)
+        reach = np.searchsorted(-hits, -np.arange(hits.max(initial=0)), side="left")
+        for a in range(0, len(first), WORDS_TOGETHER):
+            for k, end in enumerate(reach):
+                if end <= a:
+                    break
+                b = min(end, a + WORDS_TOGETHER)
+                hit = first[a:b] + k
+                part = self.table[at[hit]]
+                part *= weight[near[hit], None]
+                sums[a:b] += part
+        out[owner[near[first]]] = sums
         return np.minimum(out / np.maximum(norm, 1e-9)[:, None], 1).astype(np.float32)
 
 
@@ -116,6 +139,18 @@ def slices(words: list[bytes], size: int) -> Iterator[list[bytes]]:
         a = b
 
 
+class Numbers(dict):
+    """Numbers of words in order of first sight; `fresh` lists those not yet read."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.fresh.append(word)
+        return number
+
+
 class Reader:
     """Sentences of texts as rows of landmark similarities; remembers words."""
 
@@ -124,15 +159,16 @@ class Reader:
         self.clear()
 
     def clear(self):
-        self.number: dict[bytes, int] = {}
+        self.number = Numbers()
         self.rows = np.zeros((4096, len(self.kernel.landmarks)), np.float32)
         self.ends, self.single = np.zeros(4096, bool), np.zeros(4096, bool)
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        fresh = [w for w in dict.fromkeys(words) if w not in self.number]
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        fresh, self.number.fresh = self.number.fresh, []
         if fresh:
-            known, size = len(self.number), len(self.number) + len(fresh)
-            self.number.update(zip(fresh, range(known, size)))
+            size = len(self.number)
+            known = size - len(fresh)
             if size > len(self.rows):
                 more = max(size, 2 * len(self.rows)) - len(self.rows)
                 self.rows = np.concatenate([self.rows, np.zeros((more, self.rows.shape[1]), np.float32)])
@@ -142,7 +178,7 @@ class Reader:
             self.rows[known:size] = rows
             self.ends[known:size] = [w[-1:] in ".!?" for w in spelled]
             self.single[known:size] = [len(w) == 1 for w in spelled]
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return at
 
     def sentences(self, parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Similarity rows of the sentences of some lists of words, and the first row of each list."""

@@ -405,3 +405,26 @@ def test_toxicity_fit_holds_words_of_one_text_at_a_time():
     finally:
         tracemalloc.stop()
     assert peak < 6 * sum(map(len, texts))
+
+
+def test_kernel_sums_of_short_and_long_words():
+    """Similarities by hand; and no table row is summed by segments but for words of very many hits."""
+    kernel = toxicity.Kernel(["idiot", "moron", "plain"])
+    words = ["id-iot", "idiots", "xyz", "", "moronic", "idiot" * 400, "plain", "idiot"]
+    got = kernel.of(words)
+    for word, row in zip(words, got):
+        owner, code, weight = toxicity.subsequences([word])
+        at = {int(c): i for i, c in enumerate(kernel.codes)}
+        want = np.zeros(3)
+        for c, w in zip(code, weight):
+            if int(c) in at:
+                want += kernel.table[at[int(c)]].astype(float) * w
+        norm = max(1e-9, float(np.sqrt((weight.astype(float) ** 2).sum())))
+        np.testing.assert_allclose(row, np.minimum(want / norm, 1), atol=1e-5)
+    assert kernel.of(["xyz", "qqq"]).sum() == 0 and kernel.of([]).shape == (0, 3)
+
+
+def test_words_are_numbered_in_one_look():
+    numbers = toxicity.Numbers()
+    assert [*map(numbers.__getitem__, [b"a", b"b", b"a", b"c"])] == [0, 1, 0, 2]
+    assert numbers.fresh == [b"a", b"b", b"c"] and len(numbers) == 3
