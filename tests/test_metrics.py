@@ -119,3 +119,24 @@ def test_many_ranges_are_ranked_in_as_many_partitions(spark):
     plan = metrics.roc_auc(rows, bounds=bounds)._jdf.queryExecution().executedPlan().toString()
     assert any("Exchange" in line and "300)" in line and "_range" in line for line in plan.splitlines())
     assert metrics.roc_auc(rows, bounds=bounds).head()["roc_auc"] == metrics.roc_auc(rows, bounds=[]).head()["roc_auc"]
+
+
+def test_many_ranges_are_dealt_before_rows_collapse(spark):
+    """No aggregate of distinct scores is left to the session's shuffle partitions."""
+    rows = spark.range(4_000).selectExpr("cast(id % 3 = 0 as int) label", "id % 1000 / 1000 as score")
+    bounds = [i / 200 for i in range(1, 200)]
+    plan = metrics.roc_auc(rows, bounds=bounds)._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and "_score" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("share", [0.0, 0.6, 1.0])
+def test_scores_that_fill_ranges_collapse_apart(spark, share):
+    rows = spark.range(6_000, numPartitions=5).selectExpr(
+        "cast(id % 2 as int) g", "cast(id * 7 % 5 < 2 as int) label",
+        f"case when id % 10 < {10 * share} then 0.25 else (id * 7919 % 5003) / 5003 end as score")
+    bounds = metrics.score_bounds(rows, buckets=100)
+    assert len(bounds) == 99 and (len(set(bounds)) < 99) == (share > 0)
+    want = {r["g"]: r["roc_auc"] for r in metrics.roc_auc(rows, ["g"], bounds=[]).collect()}
+    got = metrics.classification_metrics(rows.withColumn("prediction", F.lit(1.0)), ["g"], bounds=bounds).collect()
+    assert {r["g"]: r["roc_auc"] for r in got} == pytest.approx(want, abs=1e-12)
+    assert [r["n_rows"] for r in got] == [3000, 3000]
