@@ -173,3 +173,21 @@ def test_pass_equals_the_plain_formulas():
     np.testing.assert_allclose(loss, plain, rtol=1e-12)
     np.testing.assert_allclose(by_weight, x.T @ rest, rtol=1e-9, atol=1e-9)
     np.testing.assert_allclose(by_intercept, rest.sum(axis=0), rtol=1e-9, atol=1e-9)
+
+
+def test_unequal_scales_take_few_passes():
+    """Per-row penalties on features of deviations from 0.001 to 30, straight on arrays."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1200, 3)) * [1.0, 30.0, 1e-3] + [0.0, 500.0, 4.0]
+    y = (x[:, 0] + (x[:, 1] - 500) / 30 + rng.normal(size=1200) > 0.6).astype(float)
+    for c in (0.05, 3.0):
+        task = shared_fit.Task((), None, 1 / (c * len(y)), standardise=False)
+        descent = shared_fit.Descent(task, len(y), y.mean(), x.mean(axis=0), x.std(axis=0, ddof=1))
+        passes = 0
+        while not descent.done and passes < 100:
+            weights, intercept = descent.model(descent.trial)
+            margin = x @ weights + intercept
+            rest = 1 / (1 + np.exp(-margin)) - y
+            descent.take(float((np.logaddexp(0, margin) - y * margin).sum()), x.T @ rest, float(rest.sum()))
+            passes += 1
+        assert passes <= 20 and descent.fit().gradient <= shared_fit.TOLERANCE
