@@ -38,8 +38,8 @@ RIDGE = 0.1
 FOLDS = 5
 #: Words a task remembers, reads at once, and their characters at once; none of these changes a score.
 WORDS_KEPT, WORDS_AT_ONCE, CHARACTERS_AT_ONCE = 200_000, 50_000, 400_000
-#: Words whose sums are built together, few enough for the cache; words of more hits are summed by themselves.
-WORDS_TOGETHER, HITS_TOGETHER = 1_000, 256
+#: Words whose sums are built together, few enough for the cache; words of more hits are summed by themselves, in pieces.
+WORDS_TOGETHER, HITS_TOGETHER, PIECE = 1_000, 129, 200_000
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,6 +75,37 @@ class Kernel:
     def _slot(codes: np.ndarray) -> np.ndarray:
         return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
 
+    def _sums(self, first: np.ndarray, more: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Weighted table rows summed over runs of hits, longest first; `more` are a run's hits beyond its first.
+
+        All runs go on together, in the order in which the library's sums add: eight at a
+        time into eight sums, then the rest, and the first row last.
+        """
+
+        def hit(runs, k):
+            i = first[runs] + k
+            part = self.table[at[i]]
+            part *= weight[i, None]
+            return part
+
+        whole = more // 8 * 8
+        total = np.zeros((len(first), self.table.shape[1]), np.float32)
+        many = int((whole > 0).sum())
+        if many:
+            eight = [hit(slice(many), 1 + j) for j in range(8)]
+            for k in range(8, int(whole[0]), 8):
+                end = int((whole > k).sum())
+                for j in range(8):
+                    eight[j][:end] += hit(slice(end), 1 + k + j)
+            r = eight
+            total[:many] = ((r[0] + r[1]) + (r[2] + r[3])) + ((r[4] + r[5]) + (r[6] + r[7]))
+        for k in range(7):
+            runs = np.flatnonzero(more - whole > k)
+            if not len(runs):
+                break
+            total[runs] += hit(runs, 1 + whole[runs] + k)
+        return hit(slice(None), 0) + total
+
     def of(self, words: list[str]) -> np.ndarray:
         """One row for each word; the words' own norm counts each occurrence by itself."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
@@ -86,32 +117,25 @@ class Kernel:
         near, at = near[hit], at[hit]
         by = np.argsort(owner[near], kind="stable")
         near, at = near[by], at[by]
-        first = np.flatnonzero(np.diff(owner[near], prepend=-1))
+        who = owner[near]
+        new = np.diff(who, prepend=-1) != 0
+        cut = new.copy()
+        cut[::PIECE] = True
+        first = np.flatnonzero(cut)
         hits = np.diff(first, append=len(near))
-        long = hits > HITS_TOGETHER
-        if long.any():
-            inside = np.flatnonzero(np.repeat(long, hits))
-            for a in range(0, len(inside), 200_000):
-                some = inside[a : a + 200_000]
-                who = owner[near[some]]
-                cut = np.flatnonzero(np.diff(who, prepend=-1))
-                out[who[cut]] += np.add.reduceat(self.table[at[some]] * weight[near[some], None], cut)
-            first, hits = first[~long], hits[~long]
-        # Words of most hits first: the k-th hits of all words that have so many are added at once.
         order = np.argsort(-hits, kind="stable")
-        first, hits = first[order], hits[order]
-        sums = np.zeros((len(first), len(self.landmarks)), np.float32)
-        reach = np.searchsorted(-hits, -np.arange(hits.max(initial=0)), side="left")
-        for a in range(0, len(first), WORDS_TOGETHER):
-            for k, end in enumerate(reach):
-                if end <= a:
-                    break
-                b = min(end, a + WORDS_TOGETHER)
-                hit = first[a:b] + k
-                part = self.table[at[hit]]
-                part *= weight[near[hit], None]
-                sums[a:b] += part
-        out[owner[near[first]]] = sums
+        sums = np.empty((len(first), out.shape[1]), np.float32)
+        long, light = int((hits > HITS_TOGETHER).sum()), weight[near]
+        for i in order[:long]:
+            some = slice(first[i], first[i] + hits[i])
+            sums[i] = np.add.reduceat(self.table[at[some]] * light[some, None], [0])[0]
+        for a in range(long, len(order), WORDS_TOGETHER):
+            some = order[a : a + WORDS_TOGETHER]
+            sums[some] = self._sums(first[some], hits[some] - 1, at, light)
+        own = new[first]
+        out[who[first[own]]] = sums[own]
+        for i in np.flatnonzero(~own):
+            out[who[first[i]]] += sums[i]
         return np.minimum(out / np.maximum(norm, 1e-9)[:, None], 1).astype(np.float32)
 
 
