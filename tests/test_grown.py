@@ -82,3 +82,26 @@ def test_weighted_rows_count_as_often(spark):
     repeated = spark.createDataFrame([r for r in rows for _ in range(r[4])], df.schema)
     weighted = metrics.classification_metrics(df, ["model"], weight="n").collect()
     assert weighted == metrics.classification_metrics(repeated, ["model"]).collect()
+
+
+class Stop(Exception):
+    pass
+
+
+def test_searches_take_the_configured_grids(spark, sf_dir, monkeypatch):
+    """What the queries hand to training is what `config` lists: boosting's grid and space, and all grids of the summary."""
+    seen = {}
+
+    def catch(train, features, *args, **options):
+        seen.update(options)
+        raise Stop
+
+    monkeypatch.setattr(model_queries, "train_all", catch)
+    for query, name, configured in (
+        (model_queries.grid_search_gbt, "grids", config.PARAM_GRIDS), (model_queries.search_gbt, "spaces", config.SEARCH_SPACES),
+        (model_queries.training_summary_table, "grids", config.PARAM_GRIDS),
+    ):
+        seen.clear()
+        with pytest.raises(Stop):
+            query(spark, sf_dir)
+        assert seen.get(name, configured) == configured
