@@ -105,3 +105,20 @@ def test_searches_take_the_configured_grids(spark, sf_dir, monkeypatch):
         with pytest.raises(Stop):
             query(spark, sf_dir)
         assert seen.get(name, configured) == configured
+
+
+def test_ensembles_have_the_registered_sizes(spark, sf_dir, monkeypatch):
+    """The leaderboard and the exact forest fit ensembles as registered, in both profiles."""
+    seen = []
+
+    def small(estimator, data):
+        seen.append((type(estimator).__name__, *(estimator.getOrDefault(n) for n in (
+            ("numTrees", "maxDepth") if estimator.hasParam("numTrees") else ("maxIter", "maxDepth")))))
+        return estimator.copy({estimator.maxDepth: 2, **(
+            {estimator.numTrees: 2} if estimator.hasParam("numTrees") else {estimator.maxIter: 2})}).fit(data)
+
+    monkeypatch.setattr(cells, "fit", small)
+    assert model_queries.leaderboard_scores(spark, sf_dir).count() == 6
+    model_queries.fit_rf_exact(spark, sf_dir)
+    forest, boosting = "RandomForestClassifier", "GBTClassifier"
+    assert seen == [(forest, 20, 5), (boosting, 20, 5), (forest, 100, 30), (boosting, 100, 5), (forest, 100, 30)]
